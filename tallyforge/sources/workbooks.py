@@ -1,0 +1,108 @@
+"""Customers from a folder of spreadsheet workbooks (``.xlsx``), one workbook per task.
+
+A workbook is a zip archive that has to be opened as a whole, so it cannot be split: supply
+many workbooks rather than a large one. Sheets are limited to about a million rows by the
+format, and rows leave the reader in batches.
+"""
+
+from __future__ import annotations
+
+import io
+import zipfile
+from collections.abc import Iterator
+from itertools import islice
+from xml.etree.ElementTree import iterparse
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+
+from tallyforge.schemas import CUSTOMERS, ddl
+
+ROWS_PER_BATCH = 10_000
+
+# Names inside the workbook format.
+SPREADSHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+SHARED_STRINGS = "xl/sharedStrings.xml"
+FIRST_SHEET = "xl/worksheets/sheet1.xml"
+
+
+def read_customer_workbooks(spark: SparkSession, path: str) -> DataFrame:
+    """First sheet of every workbook at ``path`` (a file or a folder), below its header row.
+
+    Columns are bound by position, and every cell is taken as text.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.xlsx")
+        .option("recursiveFileLookup", "true")
+        .load(path)
+        .select("content")
+    )
+    return files.mapInPandas(_customer_batches, ddl(CUSTOMERS))
+
+
+def _customer_batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = list(CUSTOMERS)
+    for frame in frames:
+        for content in frame["content"]:
+            rows = islice(sheet_rows(content, len(columns)), 1, None)
+            while batch := list(islice(rows, ROWS_PER_BATCH)):
+                yield pd.DataFrame(batch, columns=columns, dtype=object)
+
+
+def sheet_rows(content: bytes, width: int) -> Iterator[list[str | None]]:
+    """Rows of the first sheet as ``width`` texts; a missing or empty cell is None."""
+    with zipfile.ZipFile(io.BytesIO(content)) as book:
+        shared: list[str] = []
+        if SHARED_STRINGS in book.namelist():
+            with book.open(SHARED_STRINGS) as part:
+                shared = [_text(item) for item in _elements(part, "si")]
+        with book.open(FIRST_SHEET) as part:
+            for row in _elements(part, "row"):
+                cells: list[str | None] = [None] * width
+                position = -1
+                for cell in row.findall(f"{SPREADSHEET}c"):
+                    # A cell without a reference follows the one before it.
+                    reference = cell.get("r")
+                    position = _column(reference) if reference else position + 1
+                    if position < width:
+                        cells[position] = _value(cell, shared) or None
+                yield cells
+
+
+def _elements(part, tag: str):
+    """Elements called ``tag``, one at a time; each is emptied after use to bound memory."""
+    for _, element in iterparse(part):
+        if element.tag == SPREADSHEET + tag:
+            yield element
+            element.clear()
+
+
+def _text(element) -> str:
+    """Text of an item, without the phonetic hints some languages add."""
+    direct = element.findall(f"{SPREADSHEET}t")
+    runs = element.findall(f"{SPREADSHEET}r/{SPREADSHEET}t")
+    return "".join(t.text or "" for t in [*direct, *runs])
+
+
+def _value(cell, shared: list[str]) -> str | None:
+    kind = cell.get("t")
+    if kind == "inlineStr":
+        inline = cell.find(f"{SPREADSHEET}is")
+        return None if inline is None else _text(inline)
+    raw = cell.findtext(f"{SPREADSHEET}v")
+    if raw is None:
+        return None
+    if kind == "s":
+        return shared[int(raw)]
+    if kind == "b":
+        return "TRUE" if raw == "1" else "FALSE"
+    return raw
+
+
+def _column(reference: str) -> int:
+    """Column number, from 0, of a cell reference such as ``AB12``."""
+    number = 0
+    for letter in reference.rstrip("0123456789"):
+        number = number * 26 + ord(letter) - ord("A") + 1
+    return number - 1

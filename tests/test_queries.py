@@ -1,0 +1,96 @@
+"""Every registered query against the same query in SQL on DuckDB: all rows, all values."""
+
+import glob
+import os
+from collections import Counter
+
+import duckdb
+import pytest
+
+import __spark_entry__ as driver
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+QUERIES = driver.queries()
+ORACLES = driver.oracle_sql()
+
+SPARK_TYPE = {
+    "VARCHAR": "string",
+    "INTEGER": "int",
+    "BIGINT": "bigint",
+    "DOUBLE": "double",
+    "DATE": "date",
+    "BOOLEAN": "boolean",
+}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for path in glob.glob(f"{SF_DIR}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def spark_rows(df):
+    names = sorted(df.columns)
+    return Counter(tuple(row) for row in df.select(*names).collect())
+
+
+def test_every_query_has_an_oracle():
+    assert QUERIES.keys() == ORACLES.keys()
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query(spark, duck, name):
+    result = QUERIES[name](spark, SF_DIR)
+    expected = duck.sql(ORACLES[name])
+    order = sorted(range(len(expected.columns)), key=lambda i: expected.columns[i])
+    types = {c: SPARK_TYPE[str(t)] for c, t in zip(expected.columns, expected.types)}
+    assert dict(result.dtypes) == types
+    rows = Counter(tuple(row[i] for i in order) for row in expected.fetchall())
+    assert rows and spark_rows(result) == rows
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "profit_by_year",
+        "enriched_orders",
+        "enriched_customers",
+        "bad_customers_loader_rule",
+        "bad_customers_strict",
+        "low_profit_orders",
+        "cast_audit",
+    ],
+)
+def test_query_without_ansi_mode(spark, duck, ansi_off, name):
+    expected = duck.sql(ORACLES[name])
+    order = sorted(range(len(expected.columns)), key=lambda i: expected.columns[i])
+    rows = Counter(tuple(row[i] for i in order) for row in expected.fetchall())
+    assert spark_rows(QUERIES[name](spark, SF_DIR)) == rows
+
+
+def test_flagship_query(spark):
+    result = driver.entry(spark)
+    assert result.columns == ["Year", "Profit"]
+    assert result.count() > 0
+
+
+def test_known_counts(spark):
+    if not SF_DIR.endswith("sf0.01"):
+        pytest.skip("counts are for sf0.01")
+    counts = {name: QUERIES[name](spark, SF_DIR).count() for name in COUNTS}
+    assert counts == COUNTS
+
+
+COUNTS = {
+    "valid_customers": 1180,
+    "bad_customers": 208,
+    "bad_customers_loader_rule": 105,
+    "valid_customers_strict": 1031,
+    "bad_customers_strict": 363,
+    "enriched_orders": 47181,
+    "gold_profit_agg": 44664,
+    "low_profit_orders": 35499,
+}
