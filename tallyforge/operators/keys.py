@@ -11,7 +11,9 @@ how even the ranges are, never which key a row gets.
 
 from __future__ import annotations
 
+import json
 import math
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -65,7 +67,7 @@ def add_dense_key(
 def _boundaries(
     df: DataFrame, order: list[Column], ranges: int, total: int
 ) -> tuple[list[Row], bool]:
-    """Values at which a new range starts, and whether one value alone exceeds its range.
+    """Values, as text, at which a range starts, and whether one value alone exceeds its range.
 
     At most about ``ranges * SAMPLES_PER_RANGE`` sampled values come to the driver.
     """
@@ -74,12 +76,14 @@ def _boundaries(
     if total > wanted:
         keys = keys.sample(wanted / total, seed=1)
     names = keys.columns
-    seen = keys.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).orderBy(*names).collect()
+    seen = keys.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).orderBy(*names)
+    seen = seen.select(*[F.col(k).cast("string") for k in names], "n").collect()
 
     target = sum(row.n for row in seen) / ranges
     bounds, filled, hot = [], 0, False
     for i, row in enumerate(seen):
-        if i and (filled >= target or row.n >= target):
+        # Text that is not valid UTF-8 comes back altered and might sort elsewhere.
+        if i and (filled >= target or row.n >= target) and "\ufffd" not in "".join(filter(None, row[:-1])):
             bounds.append(row)
             filled = 0
         filled += row.n
@@ -87,35 +91,40 @@ def _boundaries(
     return bounds, hot
 
 
+def _fixed_array(values: list, kind: str) -> Column:
+    """An array literal. One text that is parsed while planning is far quicker to build than
+    one literal per value."""
+    return F.from_json(F.lit(json.dumps(values)), "array<string>").cast(f"array<{kind}>")
+
+
 def _range_number(df: DataFrame, order: list[Column], bounds: list[Row]) -> Column:
-    """How many boundaries are not above the row: a search in two steps of about sqrt(n)."""
+    """How many boundaries are not above the row, by binary search over literal arrays."""
     if not bounds:
         return F.lit(0)
     types = [kind for _, kind in df.select(*order).dtypes]
-    probe = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
-    fixed = [
-        F.struct(*[F.lit(row[i]).cast(kind).alias(f"k{i}") for i, kind in enumerate(types)])
-        for row in bounds
-    ]
-    step = math.isqrt(len(fixed) - 1) + 1
-    blocks = [fixed[i : i + step] for i in range(0, len(fixed), step)]
+    arrays = [_fixed_array([row[i] for row in bounds], kind) for i, kind in enumerate(types)]
+
+    def reached(position: Column) -> Column:
+        result = F.lit(True)
+        for value, array in reversed(list(zip(order, arrays))):
+            bound = F.get(array, position)
+            above = F.coalesce(value > bound, bound.isNull() & value.isNotNull())
+            result = above | (value.eqNullSafe(bound) & result)
+        return result
 
-    def not_above(values: Column) -> Column:
-        return F.size(F.filter(values, lambda bound: bound <= probe))
+    def advance(found: Column, step: Column) -> Column:
+        ahead = found + step
+        return F.when((ahead <= len(bounds)) & reached(ahead - 1), ahead).otherwise(found)
 
-    block = not_above(F.array(*[b[0] for b in blocks]))
-    inside = not_above(F.get(F.array(*[F.array(*b) for b in blocks]), block - 1))
-    return F.when(block == 0, 0).otherwise((block - 1) * step + inside)
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+    return F.aggregate(F.array(*[F.lit(step) for step in steps]), F.lit(0), advance)
 
 
 def _rows_before(sizes: DataFrame, last: int) -> Column:
     """Rows in the ranges before ``_range``; ``sizes`` has one row per range."""
     by_range = {row["_range"]: row.n for row in sizes.collect()}
-    before, running = [], 0
-    for i in range(last + 1):
-        before.append(F.lit(running).cast("bigint"))
-        running += by_range.get(i, 0)
-    return F.get(F.array(*before), F.col("_range"))
+    before = [0, *accumulate(by_range.get(i, 0) for i in range(last))]
+    return F.get(_fixed_array([str(n) for n in before], "bigint"), F.col("_range"))
 
 
 def _number_copies(
