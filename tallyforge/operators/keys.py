@@ -1,17 +1,12 @@
 """Dense surrogate keys without a one-task sort.
 
 ``row_number`` over an unpartitioned window pulls the whole table into one task. Here the
-ordering key is cut into ranges at boundaries taken from a sample; rows are numbered inside
-their range, in parallel, and the number of rows in the ranges before is added.
-
-The boundaries and the range sizes are literals of the plan, so the counting job and the
-numbering job agree, and a task that runs again gives the same keys. The sample only decides
-how even the ranges are, never which key a row gets.
+ordering key is cut into ranges; rows are numbered inside their range, in parallel, and the
+number of rows in the ranges before is added.
 """
 
 from __future__ import annotations
 
-import json
 import math
 from itertools import accumulate
 
@@ -19,9 +14,10 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyforge.operators.ranges import fixed_array, range_number, sample_ranges
+
 ROWS_PER_RANGE = 500_000
 MAX_RANGES = 4096
-SAMPLES_PER_RANGE = 50
 COPIES_PER_CHUNK = 100_000
 INT_MAX = 2**31 - 1
 
@@ -45,86 +41,30 @@ def add_dense_key(
     if key_type == "int" and total > INT_MAX:
         raise ValueError(f"{total} rows need a bigint {name}; pass key_type='bigint'")
 
-    cores = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = min(MAX_RANGES, max(cores, math.ceil(total / rows_per_range)))
+    parallel = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MAX_RANGES, max(parallel, math.ceil(total / rows_per_range)))
     tie_break = F.xxhash64(*df.columns)
 
     order = [F.col(c) for c in order_by]
-    bounds, hot = _boundaries(df, order, ranges, total)
-    if hot:
+    ranges = sample_ranges(df, order, wanted, total)
+    if ranges.oversized():
         order = [*order, tie_break]
-        bounds, copies = _boundaries(df, order, ranges, total)
-        if copies:
-            return _number_copies(df, name, order, bounds, key_type)
+        ranges = sample_ranges(df, order, wanted, total)
+        if ranges.oversized():
+            return _number_copies(df, name, order, ranges.bounds, key_type)
 
-    ranged = df.withColumn("_range", _range_number(df, order, bounds))
+    ranged = df.withColumn("_range", range_number(df, order, ranges.bounds))
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
     full_order = Window.partitionBy("_range").orderBy(*order_by, tie_break, *df.columns)
-    number = _rows_before(sizes, len(bounds)) + F.row_number().over(full_order)
+    number = _rows_before(sizes, len(ranges.bounds)) + F.row_number().over(full_order)
     return ranged.select(number.cast(key_type).alias(name), *df.columns)
 
 
-def _boundaries(
-    df: DataFrame, order: list[Column], ranges: int, total: int
-) -> tuple[list[Row], bool]:
-    """Values, as text, at which a range starts, and whether one value alone exceeds its range.
-
-    At most about ``ranges * SAMPLES_PER_RANGE`` sampled values come to the driver.
-    """
-    wanted = ranges * SAMPLES_PER_RANGE
-    keys = df.select(*[c.alias(f"k{i}") for i, c in enumerate(order)])
-    if total > wanted:
-        keys = keys.sample(wanted / total, seed=1)
-    names = keys.columns
-    seen = keys.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).orderBy(*names)
-    seen = seen.select(*[F.col(k).cast("string") for k in names], "n").collect()
-
-    target = sum(row.n for row in seen) / ranges
-    bounds, filled, hot = [], 0, False
-    for i, row in enumerate(seen):
-        # Text that is not valid UTF-8 comes back altered and might sort elsewhere.
-        if i and (filled >= target or row.n >= target) and "\ufffd" not in "".join(filter(None, row[:-1])):
-            bounds.append(row)
-            filled = 0
-        filled += row.n
-        hot = hot or row.n >= max(2 * target, SAMPLES_PER_RANGE)
-    return bounds, hot
-
-
-def _fixed_array(values: list, kind: str) -> Column:
-    """An array literal. One text that is parsed while planning is far quicker to build than
-    one literal per value."""
-    return F.from_json(F.lit(json.dumps(values)), "array<string>").cast(f"array<{kind}>")
-
-
-def _range_number(df: DataFrame, order: list[Column], bounds: list[Row]) -> Column:
-    """How many boundaries are not above the row, by binary search over literal arrays."""
-    if not bounds:
-        return F.lit(0)
-    types = [kind for _, kind in df.select(*order).dtypes]
-    arrays = [_fixed_array([row[i] for row in bounds], kind) for i, kind in enumerate(types)]
-
-    def reached(position: Column) -> Column:
-        result = F.lit(True)
-        for value, array in reversed(list(zip(order, arrays))):
-            bound = F.get(array, position)
-            above = F.coalesce(value > bound, bound.isNull() & value.isNotNull())
-            result = above | (value.eqNullSafe(bound) & result)
-        return result
-
-    def advance(found: Column, step: Column) -> Column:
-        ahead = found + step
-        return F.when((ahead <= len(bounds)) & reached(ahead - 1), ahead).otherwise(found)
-
-    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
-    return F.aggregate(F.array(*[F.lit(step) for step in steps]), F.lit(0), advance)
-
-
 def _rows_before(sizes: DataFrame, last: int) -> Column:
     """Rows in the ranges before ``_range``; ``sizes`` has one row per range."""
     by_range = {row["_range"]: row.n for row in sizes.collect()}
     before = [0, *accumulate(by_range.get(i, 0) for i in range(last))]
-    return F.get(_fixed_array([str(n) for n in before], "bigint"), F.col("_range"))
+    return F.get(fixed_array([str(n) for n in before], "bigint"), F.col("_range"))
 
 
 def _number_copies(
@@ -136,7 +76,7 @@ def _number_copies(
     that are spread over the cluster first.
     """
     distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    ranged = distinct.withColumn("_range", _range_number(df, order, bounds))
+    ranged = distinct.withColumn("_range", range_number(df, order, bounds))
     sizes = ranged.groupBy("_range").agg(F.sum("_copies").alias("n"))
     in_order = (
         Window.partitionBy("_range")

@@ -1,0 +1,93 @@
+"""Cutting a frame into ordered ranges of similar size, at boundaries taken from a sample.
+
+The boundaries become literals of the plan. Jobs that use them therefore agree on every row's
+range, and so does a task that runs again. The sample only decides how even the ranges are.
+"""
+
+from __future__ import annotations
+
+import json
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import functions as F
+
+SAMPLES_PER_RANGE = 50
+MAX_SAMPLES = 1_000_000
+
+
+class Ranges(NamedTuple):
+    """Boundaries as text, one row each, and the sampled size of the ranges between them.
+
+    A value that fills a range by itself starts a range of its own, so only such a range can be
+    oversized.
+    """
+
+    bounds: list[Row]
+    sizes: list[int]
+    target: float
+
+    def oversized(self) -> bool:
+        return max(self.sizes, default=0) >= max(2 * self.target, SAMPLES_PER_RANGE)
+
+    def pieces(self) -> list[int]:
+        """Into how many parts of the intended size each range has to be split."""
+        return [max(1, int(size // self.target)) if self.oversized() else 1 for size in self.sizes]
+
+
+def sample_ranges(df: DataFrame, order: list[Column], ranges: int, total: int) -> Ranges:
+    """Boundaries for about ``ranges`` ranges of a frame with ``total`` rows.
+
+    Only the ordering columns are read, and at most about ``MAX_SAMPLES`` values of them come to
+    the driver.
+    """
+    wanted = min(ranges * SAMPLES_PER_RANGE, MAX_SAMPLES)
+    keys = df.select(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+    if total > wanted:
+        keys = keys.sample(wanted / total, seed=1)
+    names = keys.columns
+    seen = keys.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).orderBy(*names)
+    seen = seen.select(*[F.col(k).cast("string") for k in names], "n").collect()
+
+    target = sum(row.n for row in seen) / ranges
+    bounds, sizes = [], [0]
+    for row in seen:
+        # Text that is not valid UTF-8 comes back altered and might sort elsewhere.
+        usable = "�" not in "".join(filter(None, row[:-1]))
+        if usable and (sizes[-1] >= target or row.n >= target):
+            bounds.append(row)
+            sizes.append(0)
+        sizes[-1] += row.n
+    return Ranges(bounds, sizes, target)
+
+
+def fixed_array(values: list, kind: str) -> Column:
+    """An array literal. One text that is parsed while planning is far quicker to build than
+    one literal per value."""
+    return F.from_json(F.lit(json.dumps(values)), "array<string>").cast(f"array<{kind}>")
+
+
+def range_number(df: DataFrame, order: list[Column], bounds: list[Row]) -> Column:
+    """How many boundaries are not above the row, by binary search over literal arrays.
+
+    The order is that of an ascending sort, NULLs first.
+    """
+    if not bounds:
+        return F.lit(0)
+    types = [kind for _, kind in df.select(*order).dtypes]
+    arrays = [fixed_array([row[i] for row in bounds], kind) for i, kind in enumerate(types)]
+
+    def reached(position: Column) -> Column:
+        result = F.lit(True)
+        for value, array in reversed(list(zip(order, arrays))):
+            bound = F.get(array, position)
+            above = F.coalesce(value > bound, bound.isNull() & value.isNotNull())
+            result = above | (value.eqNullSafe(bound) & result)
+        return result
+
+    def advance(found: Column, step: Column) -> Column:
+        ahead = found + step
+        return F.when((ahead <= len(bounds)) & reached(ahead - 1), ahead).otherwise(found)
+
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+    return F.aggregate(F.array(*[F.lit(step) for step in steps]), F.lit(0), advance)

@@ -82,12 +82,13 @@ def build_gold(
     for table in ("gold_orders", "gold_profit_agg"):
         drop_table(spark, table, database)
     lines = enriched_orders(spark, database, broadcast_limit)
+    row_ids = spark.table(qualified("bronze_orders", database)).select("Row_ID")
     if keep_in_memory:
         with reused(lines):
-            overwrite_clustered(lines, "gold_orders", "Row_ID", database)
+            overwrite_clustered(lines, "gold_orders", "Row_ID", database, source=row_ids)
             overwrite_partitioned(profit_agg(lines), "gold_profit_agg", "Year", database)
     else:
-        overwrite_clustered(lines, "gold_orders", "Row_ID", database)
+        overwrite_clustered(lines, "gold_orders", "Row_ID", database, source=row_ids)
         written = spark.table(qualified("gold_orders", database))
         overwrite_partitioned(profit_agg(written), "gold_profit_agg", "Year", database)
     spark.table(qualified("gold_orders", database)).createOrReplaceGlobalTempView("enriched_ord_df")

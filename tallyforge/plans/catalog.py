@@ -207,7 +207,8 @@ def gold_profit_agg_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold_orders_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = scratch_database(spark)
-    overwrite_clustered(enriched_orders(spark, sf_dir), "gold_orders", "Row_ID", database)
+    lines, row_ids = enriched_orders(spark, sf_dir), sanitize_columns(spark, sf_dir).select("Row_ID")
+    overwrite_clustered(lines, "gold_orders", "Row_ID", database, source=row_ids)
     return spark.table(qualified("gold_orders", database))
 
 

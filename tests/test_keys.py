@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyforge.operators import keys
+from tallyforge.operators import keys, ranges
 from tallyforge.operators.keys import add_dense_key
 from tallyforge.operators.products import enrich_product_data
 from tallyforge.schemas import PRODUCTS, SILVER_PRODUCT, ddl
@@ -41,7 +41,7 @@ def test_nulls_come_first(spark):
 
 
 def test_hot_value_is_cut_further(spark, monkeypatch):
-    monkeypatch.setattr(keys, "SAMPLES_PER_RANGE", 10)
+    monkeypatch.setattr(ranges, "SAMPLES_PER_RANGE", 10)
     k = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
     df = spark.range(30_000).select(k.alias("k"), "id")
     assert_same(df, ["k"], rows_per_range=500)

@@ -108,11 +108,51 @@ def test_hot_values_and_copies_do_not_fill_one_file(spark):
     hot = F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id").cast("int"))
     for other in (F.col("id"), F.lit(0)):  # different rows, then copies
         df = spark.range(0, 24_000, 1, 8).select(hot.alias("k"), other.alias("v"))
-        parts = cluster_by(df, "k", 8).groupBy(F.spark_partition_id()).count()
+        parts = cluster_by(df, "k", partitions=8).groupBy(F.spark_partition_id()).count()
         sizes = [r["count"] for r in parts.collect()]
         assert sum(sizes) == 24_000 and max(sizes) < 6_000
 
 
+def test_only_a_hot_value_is_shared_between_ranges(spark):
+    hot = F.when(F.col("id") % 2 == 0, F.lit(5_000)).otherwise(F.col("id").cast("int"))
+    df = spark.range(0, 20_000, 1, 4).select(hot.alias("k"), F.col("id"))
+    placed = cluster_by(df, "k", partitions=10)
+    spans = placed.groupBy(F.spark_partition_id().alias("p")).agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
+    spans = [(r.lo, r.hi) for r in spans.orderBy("p").collect()]
+    assert sum(lo <= 5_000 <= hi for lo, hi in spans) >= 4
+    assert all(a[1] < b[0] or a[1] == b[0] == 5_000 for a, b in zip(spans, spans[1:]))
+
+
+def test_clustering_keeps_nulls_and_every_row(spark, database):
+    k = F.when(F.col("id") % 5 != 0, (F.col("id") * 7919 % 10_007).cast("int"))
+    df = spark.range(10_000).select(k.alias("k"), "id")
+    overwrite_clustered(df, "t", "k", database, partitions=12)
+    table = spark.table(f"{database}.t")
+    assert rows(table.select("id")) == [(i,) for i in range(10_000)]
+    values = file_ranges(table.filter("k IS NOT NULL"), "k")
+    assert len(values) >= 8 and all(a[1] < b[0] for a, b in zip(values, values[1:]))
+
+
+def test_clustering_an_empty_frame(spark, database):
+    overwrite_clustered(spark.createDataFrame([], "k int, v string"), "t", "k", database)
+    assert spark.table(f"{database}.t").count() == 0
+
+
+def test_ranges_may_come_from_another_frame(spark):
+    df = spark.range(10_000).select(F.col("id").cast("int").alias("k"))
+    other = spark.range(2_000, 4_000).select(F.col("id").cast("int").alias("k"))
+    placed = cluster_by(df, "k", source=other, partitions=4)
+    spans = placed.groupBy(F.spark_partition_id().alias("p")).agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
+    spans = [(r.lo, r.hi) for r in spans.orderBy("lo").collect()]
+    assert spans[0][0] == 0 and spans[-1][1] == 9_999 and len(spans) == 4
+    assert all(a[1] + 1 == b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_joins_below_a_clustered_write_run_once(spark):
+    plan = executed(cluster_by(catalog.enriched_orders(spark, SF_DIR), "Row_ID", partitions=4))
+    assert "rangepartitioning" not in plan and "Window" not in plan
+
+
 def test_reused_frame_is_released(spark):
     df = spark.range(10)
     with reused(df) as kept:
