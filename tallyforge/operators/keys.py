@@ -55,7 +55,8 @@ def add_dense_key(
 
     ranged = df.withColumn("_range", range_number(df, order, ranges.bounds))
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
-    full_order = Window.partitionBy("_range").orderBy(*order_by, tie_break, *df.columns)
+    rest = [c for c in df.columns if c not in order_by]
+    full_order = Window.partitionBy("_range").orderBy(*order_by, tie_break, *rest)
     number = _rows_before(sizes, len(ranges.bounds)) + F.row_number().over(full_order)
     return ranged.select(number.cast(key_type).alias(name), *df.columns)
 
