@@ -52,6 +52,7 @@ HEADLINE = [
     "scan_customer_files",
     "ingest_manifest",
     "schema_evolving_overwrite",
+    "batch_profit_agg",
 ]
 
 

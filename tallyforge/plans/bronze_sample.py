@@ -72,15 +72,20 @@ def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with the column names of an order file, spaces included."""
-    rows = _table(spark, sf_dir, "lineitem").join(
-        _table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    # What belongs to the order is shaped before the join, once per order and not per line.
+    orders = _table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.col("o_custkey").cast("string").alias("customer"),
+        F.date_format(F.col("o_orderdate").cast("date"), "d/M/yyyy").alias("ordered"),
+        "o_orderpriority",
     )
+    rows = _table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     margin = F.lit("0.20").cast("decimal(4,2)") - F.lit(4) * F.col("l_discount").cast("decimal(4,2)")
     columns = {
-        "Customer ID": F.col("o_custkey").cast("string"),
+        "Customer ID": F.col("customer"),
         "Discount": F.col("l_discount"),
-        "Order Date": F.date_format(F.col("o_orderdate").cast("date"), "d/M/yyyy"),
+        "Order Date": F.col("ordered"),
         "Order ID": F.col("l_orderkey").cast("string"),
         "Price": price.cast("double"),
         "Product ID": F.col("l_partkey").cast("string"),

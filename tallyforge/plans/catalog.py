@@ -17,6 +17,7 @@ from tallyforge.operators.columns import sanitize_cols
 from tallyforge.operators.keys import add_dense_key
 from tallyforge.operators.orders import enrich_order_data, low_profit_orders
 from tallyforge.operators.products import enrich_product_data
+from tallyforge.plans.batch import run_batch
 from tallyforge.plans.bronze_sample import bronze_customers, bronze_products, order_lines
 from tallyforge.sinks.tables import (
     overwrite_by_status,
@@ -196,6 +197,17 @@ def load_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_counts(ingest(spark, paths, scratch_database(spark), multiline=False))
 
 
+def batch_profit_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole batch, from source files to the gold aggregate, which is read by name."""
+    folder, database = shared_folder(spark), scratch_database(spark)
+    order_lines(spark, sf_dir).write.json(f"{folder}/Orders.json")
+    _write_csv(bronze_products(spark, sf_dir), f"{folder}/Products.csv")
+    _write_csv(bronze_customers(spark, sf_dir), f"{folder}/Customer.csv")
+    paths = [f"{folder}/{name}" for name in ("Customer.csv", "Orders.json", "Products.csv")]
+    run_batch(spark, paths, database, multiline=False)
+    return spark.sql(f"SELECT * FROM {qualified('gold_profit_agg', database)}")
+
+
 # --- sinks --------------------------------------------------------------------------------
 
 
@@ -274,4 +286,5 @@ def all_queries() -> dict[str, Query]:
         "load_row_counts": load_row_counts,
         "ingest_manifest": ingest_manifest,
         "schema_evolving_overwrite": schema_evolving_overwrite,
+        "batch_profit_agg": batch_profit_agg,
     }

@@ -157,6 +157,7 @@ def all_oracles() -> dict[str, str]:
         "profit_detail": _AGG,
         "gold_profit_agg": _AGG,
         "gold_profit_agg_partitioned": _AGG,
+        "batch_profit_agg": _AGG,
         "gold_orders_count": "SELECT count(*) AS n FROM enriched",
         "gold_orders_clustered": "SELECT * FROM enriched",
         "enriched_customers": "SELECT * FROM checked",

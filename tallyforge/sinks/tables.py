@@ -85,9 +85,9 @@ def cluster_by(
     same values, for instance the fact table before its joins. Spark's own range partitioning
     would sample ``df`` itself, that is, run all the joins below it a second time.
 
-    A value that fills several partitions is spread over as many, by a hash of the row and of
-    the task that produced it. Both are the same when a task runs again, and the task number
-    parts even copies of one row. Only the files of such a value share a value.
+    A value that fills several partitions is spread over as many, by a hash of the row and the
+    number of the task that produced it. Both are the same when a task runs again, and the task
+    number parts even copies of one row. Only the files of such a value share a value.
     """
     source = (df if source is None else source).select(column)
     kind = source.dtypes[0][1]
@@ -100,7 +100,9 @@ def cluster_by(
     if ranges.oversized():
         parts = F.get(fixed_array([str(n) for n in pieces], "int"), F.col("_range"))
         start = F.get(fixed_array([None, *(row[0] for row in ranges.bounds)], kind), F.col("_range"))
-        spread = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), parts).cast("int")
+        # Counting on from the row's own place deals the copies of a row out evenly by task.
+        own = F.pmod(F.xxhash64(*df.columns), parts).cast("int")
+        spread = F.pmod(own + F.spark_partition_id(), parts)
         # Values between the frequent one and the next boundary stay together, after it.
         place = place + F.when(F.col(column).eqNullSafe(start), spread).otherwise(parts - 1)
     placed = ranged.withColumn("_place", place).repartitionById(first[-1], "_place")

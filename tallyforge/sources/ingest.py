@@ -46,6 +46,8 @@ def load_file(
 ) -> dict:
     """Read, sanitize and write one file. Returns its manifest row, also when it fails.
 
+    ``path`` may also be a folder or a pattern that stands for many files of one kind.
+
     Rows are counted while they are written, so the source is scanned once. The written table
     is also registered as the temporary view ``<table>_loaded``; a view with the table's own
     name would hide the table.
@@ -65,7 +67,7 @@ def load_file(
         )
         entry["status"] = "loaded"
     except Exception as failure:  # one bad file must not stop the others
-        log.exception("could not load %s", path)
+        log.error("could not load %s: %s", path, failure)
         entry["error"] = str(failure)
     return entry
 
