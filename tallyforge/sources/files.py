@@ -17,12 +17,17 @@ def read_orders_json(spark: SparkSession, path: str, multiline: bool = True) ->
     return spark.read.schema(ddl(ORDERS_FILE)).json(path, multiLine=multiline)
 
 
-def read_products_csv(spark: SparkSession, path: str, check_header: bool = False) -> DataFrame:
+def read_products_csv(
+    spark: SparkSession, path: str, check_header: bool = False, doubled_quotes: bool = False
+) -> DataFrame:
     """Products from CSV with a header line. Columns are bound by position.
 
-    ``check_header`` makes a header with other names or another order an error.
+    ``check_header`` makes a header with other names or another order an error, and
+    ``doubled_quotes`` reads ``""`` inside a quoted value as one quote.
     """
-    return spark.read.schema(ddl(PRODUCTS)).csv(path, header=True, enforceSchema=not check_header)
+    options = {"escape": '"'} if doubled_quotes else {}
+    reader = spark.read.schema(ddl(PRODUCTS)).options(**options)
+    return reader.csv(path, header=True, enforceSchema=not check_header)
 
 
 def read_customers(spark: SparkSession, path: str) -> DataFrame:
