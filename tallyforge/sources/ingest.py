@@ -81,7 +81,7 @@ def ingest(
 
 
 def row_counts(manifest: DataFrame) -> DataFrame:
-    """Rows loaded per table; of several files for one table the last one stays."""
+    """Table and rows of every file that was loaded."""
     return manifest.filter(F.col("status") == "loaded").select(
         "table_name", F.col("row_count").alias("n")
     )

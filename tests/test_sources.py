@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from tallyforge.operators.columns import sanitize_cols
+from tallyforge.plans.batch import run_batch
 from tallyforge.schemas import CUSTOMERS, ORDERS_FILE, PRODUCTS
 from tallyforge.sources.files import read_customers, read_orders_json, read_products_csv, read_table_path
 from tallyforge.sources.ingest import ingest, load_file, row_counts, target_table
@@ -162,6 +163,18 @@ def test_load_continues_after_a_bad_file(spark, tmp_path, database):
     assert spark.table("bronze_orders_loaded").count() == 2
 
 
+def test_empty_files_load_no_rows(spark, tmp_path, database):
+    (tmp_path / "Orders.json").write_text("[]")
+    (tmp_path / "Products.csv").write_text("Product_ID,Category,Sub_Category,Product_Name\n")
+    (tmp_path / "Customer.csv").write_text("")
+    paths = [str(tmp_path / n) for n in ("Orders.json", "Products.csv", "Customer.csv")]
+    manifest = ingest(spark, paths, database).collect()
+    assert [(r.status, r.row_count) for r in manifest] == [("loaded", 0)] * 3
+    run_batch(spark, paths, database)
+    for table in ("gold_orders", "gold_profit_agg", "silver_customer", "silver_products"):
+        assert spark.table(f"{database}.{table}").count() == 0
+
+
 def test_missing_file_is_an_error_row(spark, tmp_path, database):
     entry = load_file(str(tmp_path / "Orders.json"), spark, database)
     assert entry["status"] == "error" and "PATH_NOT_FOUND" in entry["error"]
