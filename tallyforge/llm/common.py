@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from tallyforge.workspace import shared_folder
 
 
+#: One row in so many is counted to find groups that need cutting.
+COUNTED = 32
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back: later steps never redo its work, and
     a lost executor costs nothing that is already written."""
@@ -83,21 +87,34 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def in_blocks(rows: DataFrame, key: list[str], spread: Column, limit: int) -> DataFrame:
+def counted(spread: Column) -> Column:
+    """Whether a row is among the one in ``COUNTED`` that sizes of groups are estimated from."""
+    return F.pmod(F.shiftright(spread, 32), F.lit(COUNTED)) == 0
+
+
+def in_blocks(
+    rows: DataFrame, key: list[str], spread: Column, limit: int, sample: DataFrame | None = None
+) -> DataFrame:
     """Cut groups with over ``limit`` rows into blocks, so that no task holds a whole group.
 
     Adds ``_i``, ``_j`` and ``_block``. Rows of one ``(key, _i, _j)`` belong together; where
     ``_i`` and ``_j`` differ, rows of block ``_i`` meet those of block ``_j``. Each pair of rows
     of a group meets in exactly one of them. A group of n rows is copied n / limit times.
+
+    Sizes of groups are estimated from one row in ``COUNTED``, chosen by ``spread``. They only
+    decide how a group is cut, never whether two of its rows meet. ``sample`` gives the keys of
+    those rows where they come cheaper than from ``rows``.
     """
-    big = rows.groupBy(*key).agg(F.ceil(F.count("*") / limit).alias("_n")).filter("_n > 1")
-    joined = rows.withColumn("_spread", spread).join(big, key, "left")
+    sample = rows.filter(counted(spread)) if sample is None else sample
+    rows = rows.withColumn("_spread", spread)
+    big = sample.groupBy(*key).agg(F.ceil(F.count("*") * COUNTED / limit).cast("int").alias("_n"))
+    joined = rows.join(big.filter("_n > 1"), key, "left")
     block = F.pmod(F.col("_spread"), F.coalesce("_n", F.lit(1))).cast("int")
     joined = joined.withColumn("_block", block)
-    partners = F.sequence(F.lit(0), F.coalesce(F.col("_n").cast("int"), F.lit(1)) - 1)
+    partners = F.sequence(F.lit(0), F.coalesce("_n", F.lit(1)) - 1)
     met = joined.withColumn("_other", F.explode(partners))
     return met.select(
-        *rows.columns,
+        *[c for c in rows.columns if c != "_spread"],
         F.least("_block", "_other").alias("_i"),
         F.greatest("_block", "_other").alias("_j"),
         "_block",

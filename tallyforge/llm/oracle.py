@@ -13,5 +13,111 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+LM_SCORING = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), tokens AS (
+    SELECT r, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM docs
+), grams AS (
+    SELECT r, w, lag(w) OVER (PARTITION BY r ORDER BY i) AS p FROM tokens
+), ones AS (
+    SELECT w, count(*) AS n FROM tokens GROUP BY w
+), twos AS (
+    SELECT p, w, count(*) AS n FROM grams WHERE p IS NOT NULL GROUP BY p, w
+), scored AS (
+    SELECT g.r,
+           CASE WHEN g.p IS NULL THEN ln(one.n / total.n)
+                WHEN two.n >= 2 THEN ln(two.n / context.n)
+                ELSE ln(0.4) + ln(one.n / total.n) END AS score,
+           g.p IS NOT NULL AND two.n < 2 AS backed
+    FROM grams g
+    JOIN ones one ON one.w = g.w
+    LEFT JOIN ones context ON context.w = g.p
+    LEFT JOIN twos two ON two.p = g.p AND two.w = g.w
+    CROSS JOIN (SELECT count(*) AS n FROM tokens) total
+)
+SELECT doc_id,
+       count(score) AS n_tokens,
+       count(*) FILTER (WHERE backed) AS n_backoffs,
+       round(coalesce(sum(score), 0.0), 6) AS log_score,
+       round(avg(score), 6) AS mean_log_score
+FROM docs LEFT JOIN scored USING (r)
+GROUP BY r, doc_id
+"""
+
+NEAR_VECTORS = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)
+      AND len([x FOR x IN embedding IF x <> 0]) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reached AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION
+    SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+), parts AS (
+    SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a
+), counts AS (
+    SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN parts USING (vec_id) LEFT JOIN counts USING (vec_id)
+"""
+
+CHAT = r"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), sized AS (
+    SELECT *,
+           replace(replace(replace(replace(replace(role, '\', '\\'), '<s>', '<\s>'), '</s>', '<\/s>'),
+                   '[INST]', '[\INST]'), '[/INST]', '[\/INST]') AS safe_role,
+           replace(replace(replace(replace(replace(text, '\', '\\'), '<s>', '<\s>'), '</s>', '<\/s>'),
+                   '[INST]', '[\INST]'), '[/INST]', '[\/INST]') AS safe_text
+    FROM said
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+              FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(length('<s>[INST] ') + length(safe_role) + length(' [/INST]') + length(safe_text)
+           + length('</s>'))::BIGINT AS formatted_chars
+FROM sized
+GROUP BY conv_id
+"""
+
+WARC = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages
+), typed AS (
+    SELECT *, max(page_id) OVER (PARTITION BY html) AS keep FROM payloads
+)
+SELECT page_id,
+       payload_bytes,
+       sha1(html) AS payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keep THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keep THEN keep END AS refers_to
+FROM typed
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op4_exact_dedup": EXACT_DEDUP}
+    return {
+        "op1_lm_scoring": LM_SCORING,
+        "op3_embedding_near_dedup": NEAR_VECTORS,
+        "op4_exact_dedup": EXACT_DEDUP,
+        "op7_chat_formatting": CHAT,
+        "op10_warc": WARC,
+    }

@@ -171,24 +171,32 @@ def close_pairs(
             yield query[found[which]], word[found[which]] * 64 + lane
 
 
-def spanning_links(prints, same, block, max_bits: int):
-    """Links that join what is close within each run of ``same``; at most one per row."""
-    n = len(prints)
-    starts = np.flatnonzero(np.concatenate(([True], same[1:] != same[:-1])))
-    ends = np.concatenate((starts[1:], [n]))
-    run = np.repeat(np.arange(len(starts)), ends - starts)
-    # Blocks are sorted: the rows of the first block of a run meet those of the second one.
-    new_block = np.concatenate(([True], (block[1:] != block[:-1]) | (same[1:] != same[:-1])))
+def run_windows(same: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``low`` and ``high`` of each row's targets, for rows sorted by run and block: the later
+    rows of its run, or in a run of two blocks, for the rows of the first, all of the second."""
+    n = len(same)
+    new_run = np.concatenate(([True], same[1:] != same[:-1]))
+    new_block = new_run | np.concatenate(([True], block[1:] != block[:-1]))
+    starts = np.flatnonzero(new_run)
+    run = np.cumsum(new_run) - 1
+    end = np.concatenate((starts[1:], [n]))[run]
     block_start = np.maximum.accumulate(np.where(new_block, np.arange(n), 0))
     block_end = np.concatenate((np.flatnonzero(new_block)[1:], [n]))[np.cumsum(new_block) - 1]
-    end = ends[run]
     two = block_end[starts[run]] < end
     low = np.where(two, block_end, np.arange(n) + 1)
-    high = np.where(two & (block_start > starts[run]), low, end)
-    roots = np.arange(n)
+    return low, np.where(two & (block_start > starts[run]), low, end)
+
+
+def spanning_links(
+    prints: np.ndarray, same: np.ndarray, block: np.ndarray, max_bits: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join what is close within each run of ``same``; at most one per row."""
+    low, high = run_windows(same, block)
+    rows = np.arange(len(prints))
+    roots = rows.copy()
     for a, b in close_pairs(prints, low, high, max_bits):
         roots = local_roots(roots, a, b)
-    moved = np.flatnonzero(roots != np.arange(n))
+    moved = np.flatnonzero(roots != rows)
     return moved, roots[moved]
 
 
