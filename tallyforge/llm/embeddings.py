@@ -185,8 +185,9 @@ def collisions(
     run, group = np.cumsum(new_run) - 1, np.cumsum(new_group) - 1
     first_run = run[np.flatnonzero(new_group)][group]
     last_run = np.concatenate((run[np.flatnonzero(new_group)[1:] - 1], run[-1:]))[group]
-    # A group of two blocks: the first meets the second. Of one block: it meets itself.
-    other = np.where(first_run == last_run, run, np.where(run == first_run, last_run, -1))
+    # Where two blocks are to meet, the first meets the second; else a block meets itself.
+    alone = table["_i"].to_numpy() == table["_j"].to_numpy()
+    other = np.where(alone, run, np.where((run == first_run) & (run != last_run), last_run, -1))
     place = table["place"].to_numpy()
     low, high = windows(run, other, place, tables.window)
 

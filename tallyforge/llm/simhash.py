@@ -146,7 +146,7 @@ def close_pairs(
         begin = np.maximum(low[query] - 64 * word, 0).astype(np.uint64)
         count = np.minimum(high[query] - 64 * word, 64).astype(np.uint64) - begin
         passed = ~((ALL >> (np.uint64(64) - count)) << begin)
-        counters = [np.zeros(len(task), dtype=np.uint64) for _ in range(max_bits.bit_length())]
+        counters = [np.zeros(len(task), dtype=np.uint64) for _ in range(max(1, max_bits.bit_length()))]
         for bit in range(64):
             flip = np.uint64(0) - ((prints[query] >> np.uint64(bit)) & np.uint64(1))
             carry = planes[bit][word] ^ flip
@@ -171,9 +171,11 @@ def close_pairs(
             yield query[found[which]], word[found[which]] * 64 + lane
 
 
-def run_windows(same: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def run_windows(
+    same: np.ndarray, block: np.ndarray, two: np.ndarray | bool = False
+) -> tuple[np.ndarray, np.ndarray]:
     """``low`` and ``high`` of each row's targets, for rows sorted by run and block: the later
-    rows of its run, or in a run of two blocks, for the rows of the first, all of the second."""
+    rows of its run, or where ``two`` blocks are to meet, for rows of the first all of the second."""
     n = len(same)
     new_run = np.concatenate(([True], same[1:] != same[:-1]))
     new_block = new_run | np.concatenate(([True], block[1:] != block[:-1]))
@@ -182,16 +184,15 @@ def run_windows(same: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.nda
     end = np.concatenate((starts[1:], [n]))[run]
     block_start = np.maximum.accumulate(np.where(new_block, np.arange(n), 0))
     block_end = np.concatenate((np.flatnonzero(new_block)[1:], [n]))[np.cumsum(new_block) - 1]
-    two = block_end[starts[run]] < end
     low = np.where(two, block_end, np.arange(n) + 1)
     return low, np.where(two & (block_start > starts[run]), low, end)
 
 
 def spanning_links(
-    prints: np.ndarray, same: np.ndarray, block: np.ndarray, max_bits: int
+    prints: np.ndarray, same: np.ndarray, block: np.ndarray, two: np.ndarray | bool, max_bits: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """Links that join what is close within each run of ``same``; at most one per row."""
-    low, high = run_windows(same, block)
+    low, high = run_windows(same, block, two)
     rows = np.arange(len(prints))
     roots = rows.copy()
     for a, b in close_pairs(prints, low, high, max_bits):
@@ -224,7 +225,8 @@ def links(
             change = reduce(np.logical_or, [c[1:] != c[:-1] for c in columns])
             same = np.concatenate(([0], np.cumsum(change)))
             fp = table["fp"].to_numpy()
-            rows, roots = spanning_links(fp.view(np.uint64), same, table["_block"].to_numpy(), max_bits)
+            block, two = table["_block"].to_numpy(), columns[2] != columns[3]
+            rows, roots = spanning_links(fp.view(np.uint64), same, block, two, max_bits)
             yield pa.record_batch([pa.array(fp[rows]), pa.array(fp[roots])], names=["a", "b"])
 
     together = blocks.repartition(*keys).sortWithinPartitions(*keys, "_block", "fp")

@@ -1,0 +1,57 @@
+"""Documents with every kind of special row, and brute-force helpers."""
+
+import random
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+#: Columns of the operators' own, and one of another type, to clash with what they add.
+CLASHING = ", kept string, fp string, _key string, component string, name int, score string, batch string, _block int"
+
+
+def documents(spark, rows, clashing=False):
+    """Documents from (id, text) pairs; the other columns follow from them."""
+    full = [(i, t, "en", "src0", None if t is None else len(t)) for i, t in rows]
+    if clashing:
+        extra = ("x", "y", "z", "c", 1, "s", "b", 7)
+        return spark.createDataFrame([r + extra for r in full], DOCS + CLASHING)
+    return spark.createDataFrame(full, DOCS)
+
+
+def prose(seed, words=60, vocabulary=400):
+    draw = random.Random(seed)
+    return " ".join(f"w{draw.randrange(vocabulary)}x{draw.randrange(7)}" for _ in range(words))
+
+
+def special_rows():
+    base = prose(1, 80)
+    long = "".join(f"{prose(i, 200)}\n" for i in range(60))
+    return [
+        (1, base),
+        (2, base + " end"),
+        (3, base),
+        (4, None),
+        (5, ""),
+        (6, " \t\n"),
+        (7, long),
+        (8, long + "tail"),
+        (9, "one two three"),
+        (10, "Äö 梦 😀 ▁ <s> \\ </s> [INST]"),
+        (11, prose(2)),
+        (11, prose(3)),
+        (None, prose(4)),
+        (None, base),
+        (12, prose(5)),
+        (12, prose(5)),
+    ]
+
+
+def components(nodes, linked):
+    """Smallest reachable node of each, by brute force over all pairs."""
+    low = {n: n for n in nodes}
+    changed = True
+    while changed:
+        changed = False
+        for a in nodes:
+            for b in nodes:
+                if low[b] < low[a] and linked(a, b):
+                    low[a], changed = low[b], True
+    return low

@@ -1,0 +1,92 @@
+import math
+
+import numpy as np
+import pytest
+
+from tallyforge.llm.embeddings import calibrated, near_vectors, reaches, same_cell, in_window, windows
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int"
+
+
+def brute(vectors):
+    usable = {}
+    for i, v in vectors:
+        good = i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)
+        if good:
+            x = np.array(v, dtype=np.float32).astype(float)
+            usable[i] = x / np.linalg.norm(x)
+    linked = {
+        i: {j for j in usable if j != i and len(usable[i]) == len(usable[j]) and usable[i] @ usable[j] >= 0.95}
+        for i in usable
+    }
+    out = {}
+    for i, _ in vectors:
+        seen, todo = {i}, [i]
+        while todo:
+            for j in linked.get(todo.pop(), ()):
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        low = None if i is None else min(seen)
+        out[i] = (len(linked.get(i, ())), low, i == low)
+    return out
+
+
+def test_same_cell_and_window_are_chances():
+    draw = np.random.default_rng(0)
+    step = draw.normal(0, 0.3, 200_000)
+    start = draw.uniform(0, 1.5, 200_000)
+    assert abs(np.mean((start + step >= 0) & (start + step < 1.5)) - same_cell(0.3, 1.5)) < 0.01
+    assert abs(np.mean(np.abs(step) <= 0.5) - in_window(0.3, 0.5)) < 0.01
+
+
+def test_calibration_reaches_the_recall():
+    for vectors in (1, 500, 10**6):
+        tables = calibrated(vectors, 0.95, 0.99, 2)
+        near = math.sqrt(0.1)
+        chance = same_cell(near, tables.cell) ** tables.grid * in_window(near, tables.window)
+        assert reaches(2, tables.count, chance) >= 0.99 > reaches(2, tables.count - 1, chance)
+
+
+def test_windows():
+    run = np.array([0, 0, 0, 1, 1, 2])
+    place = np.array([0.0, 0.1, 0.9, 0.0, 0.05, 0.2])
+    low, high = windows(run, run, place, 0.2)
+    assert [(a, b) for a, b in zip(low, high)] == [(1, 2), (2, 2), (3, 3), (4, 5), (5, 5), (6, 6)]
+    low, high = windows(np.array([0, 0, 1, 1]), np.array([1, 1, -1, -1]), np.array([0.0, 0.5, 0.1, 0.6]), 0.2)
+    assert [(a, b) for a, b in zip(low, high)][:2] == [(2, 3), (3, 4)] and (low == high)[2:].all()
+
+
+@pytest.mark.parametrize("block_rows", [8, 2048])
+def test_equals_brute_force(spark, block_rows):
+    draw = np.random.default_rng(5)
+    base = draw.normal(size=(60, 32))
+    near = [b + draw.normal(size=32) * 0.05 for b in base[:10] for _ in range(6)]
+    vectors = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate([*base, *near])]
+    same = vectors[3][1]
+    vectors += [(500 + i, same) for i in range(40)]
+    vectors += [(900, None), (901, []), (902, [0.0] * 32), (903, [None] + same[1:]), (904, [math.nan] + same[1:])]
+    vectors += [(905, [math.inf] + same[1:]), (906, same[:8]), (907, same[:8]), (908, [2 * x for x in same])]
+    frame = spark.createDataFrame([(i, v, 0) for i, v in vectors], SCHEMA)
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_vectors(frame, block_rows=block_rows).collect()}
+    assert found == brute(vectors)
+
+
+def test_many_near_copies_and_doubles(spark):
+    draw = np.random.default_rng(6)
+    centre = draw.normal(size=16)
+    vectors = [(i, (centre + draw.normal(size=16) * 0.04).tolist()) for i in range(300)]
+    frame = spark.createDataFrame(vectors, "vec_id int, embedding array<double>")
+    found = near_vectors(frame, block_rows=64).collect()
+    unit = np.array([v for _, v in vectors])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    links = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+    recall = sum(r.n_links for r in found) / links.sum()
+    assert recall >= 0.99 and all(r.n_links <= links[r.vec_id] for r in found)
+    assert {r.component_id for r in found} == {0}
+
+
+def test_special_tables(spark):
+    assert near_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
+    odd = spark.createDataFrame([(None, [1.0, 2.0], 1), (2, None, 1)], SCHEMA)
+    assert {tuple(r) for r in near_vectors(odd).collect()} == {(None, 0, None, True), (2, 0, 2, True)}

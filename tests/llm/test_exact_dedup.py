@@ -1,0 +1,58 @@
+import hashlib
+
+import pytest
+from llm_rows import documents, prose, special_rows
+
+from tallyforge.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
+
+
+def brute(rows):
+    texts = [(i, t or "") for i, t in rows]
+    out = set()
+    for i, t in texts:
+        group = [j for j, u in texts if u == t]
+        ids = [j for j in group if j is not None]
+        keep = max(ids) if ids else None
+        out.add((i, keep, len(group), i == keep, hashlib.sha256(t.encode()).hexdigest()))
+    return out
+
+
+def result(df):
+    return [tuple(r)[:5] for r in df.collect()]
+
+
+@pytest.mark.parametrize("block_bytes", [7, 64, 4096])
+def test_equals_brute_force(spark, block_bytes):
+    rows = special_rows()
+    found = result(exact_duplicates(documents(spark, rows, clashing=True), block_bytes))
+    assert len(found) == len(set(found))
+    assert set(found) == brute(rows)
+
+
+def test_only_whole_texts_are_equal(spark):
+    # Same blocks in another order, a shared beginning, and a text that is a block of another.
+    rows = list(enumerate(["aabb", "bbaa", "aabbaa", "aabb", "aa", "aabba", "", "aabbaabb", "aabbaabb"]))
+    assert set(result(exact_duplicates(documents(spark, rows), 2))) == brute(rows)
+
+
+def test_many_copies(spark):
+    text = prose(1, 300)
+    rows = [(i, text if i % 3 else f"{text}{i}") for i in range(400)]
+    assert set(result(exact_duplicates(documents(spark, rows), 100))) == brute(rows)
+
+
+def test_empty_table(spark):
+    assert exact_duplicates(documents(spark, [])).collect() == []
+
+
+def test_stage_keeps_columns_and_one_row_of_each(spark):
+    docs = documents(spark, special_rows(), clashing=True)
+    kept = drop_exact_duplicates(docs, 64)
+    assert kept.schema.names == docs.schema.names
+    texts = [r.text or "" for r in kept.collect()]
+    assert sorted(texts) == sorted({t or "" for _, t in special_rows()})
+
+
+def test_runs_in_the_jvm(spark):
+    plan = exact_duplicates(documents(spark, special_rows()))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -1,0 +1,76 @@
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_rows import documents, special_rows
+
+from tallyforge.llm.packing import pack, plan, sequence_cost
+
+
+def one_by_one(lengths, sizes, cost):
+    """Best fit, piece by piece: contents and opened capacity of every bin."""
+    bins = []
+    for length in sorted(lengths, reverse=True):
+        room = [(size - sum(held), k) for k, (size, held) in enumerate(bins) if size - sum(held) >= length]
+        if room:
+            bins[min(room)[1]][1].append(length)
+        else:
+            fitting = [c for c in sorted(sizes) if c >= length]
+            bins.append((min(fitting, key=lambda c: (cost(c) / c, c)), [length]))
+    return Counter((size, tuple(sorted(held))) for size, held in bins)
+
+
+def by_bin(spans, groups):
+    held = {g.bin + k: [] for g in groups for k in range(g.bins)}
+    opened = {g.bin + k: g.opened for g in groups for k in range(g.bins)}
+    for s in spans:
+        for k in range(s.bins):
+            held[s.bin + k].append(s.length)
+    return Counter((opened[b], tuple(sorted(x))) for b, x in held.items())
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 16), max_size=60), st.sampled_from([(16,), (4, 16), (8, 12, 16)]))
+def test_plan_equals_best_fit_piece_by_piece(lengths, sizes):
+    cost = lambda c: 3 + c + c * c / 10
+    spans, groups = plan(dict(Counter(lengths)), sizes, cost)
+    assert by_bin(spans, groups) == one_by_one(lengths, sizes, cost)
+    for length, count in Counter(lengths).items():
+        ranks = [r for s in spans if s.length == length for r in range(s.rank, s.rank + s.bins)]
+        assert sorted(ranks) == list(range(count))
+
+
+def test_plan_does_not_grow_with_the_counts():
+    lengths = range(1, 513)
+    small, _ = plan({n: 100 for n in lengths}, (128, 512), sequence_cost)
+    large, _ = plan({n: 10_000_000 for n in lengths}, (128, 512), sequence_cost)
+    assert len(large) < 3 * len(small)
+
+
+@pytest.mark.parametrize("share_rows", [3, 100_000])
+def test_every_token_has_one_place(spark, share_rows):
+    rows = special_rows() + [(200 + i, "abcd") for i in range(20)]
+    found = pack(documents(spark, rows, clashing=True), (64, 256, 1024), share_rows=share_rows).collect()
+    texts = Counter((i, len((t or "").encode()) + 1) for i, t in rows)
+    bins = {}
+    for r in found:
+        bins.setdefault(r.bin_id, []).append(r)
+    for held in bins.values():
+        at = 0
+        for r in sorted(held, key=lambda r: r.bin_offset):
+            assert r.bin_offset == at
+            at += r.length
+        assert at == held[0].bin_used <= held[0].bin_capacity
+        assert held[0].bin_capacity == min(c for c in (64, 256, 1024) if c >= at)
+    assert sum(r.length for r in found) == sum(n * count for (_, n), count in texts.items())
+    assert len([r for r in found if r.piece == 0]) == len(rows)
+    expected = [min(1024, n - at) for (_, n), c in texts.items() for _ in range(c) for at in range(0, n, 1024)]
+    cut = Counter((r.bin_id, r.length) for r in found)
+    contents = Counter(tuple(sorted(n for (b, n), c in cut.items() if b == b0 for _ in range(c))) for b0 in bins)
+    brute = one_by_one(expected, (64, 256, 1024), sequence_cost)
+    assert contents == Counter(x for (_, x), c in brute.items() for _ in range(c))
+
+
+def test_empty_table(spark):
+    assert pack(documents(spark, [])).collect() == []
