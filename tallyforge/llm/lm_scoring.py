@@ -175,7 +175,7 @@ def scores(batches: DataFrame, answers: DataFrame, order: int, min_count: int, k
             at.append(count)
         logs, backed = backoff_logs(at, tokens, whole, order, min_count)
         owner = np.repeat(np.arange(len(tokens)), tokens)
-        sums = np.bincount(owner, weights=logs, minlength=len(tokens))
+        sums = np.bincount(owner, weights=logs, minlength=len(tokens)).astype(float)
         backs = np.bincount(owner, weights=backed, minlength=len(tokens)).astype(np.int64)
         mean = [s / n if n else None for s, n in zip(sums.tolist(), tokens.tolist())]
         columns = [docs["doc_id"], pa.array(tokens), pa.array(backs), pa.array(sums), pa.array(mean, pa.float64())]

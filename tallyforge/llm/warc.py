@@ -42,6 +42,7 @@ VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 TRAILER = b"\r\n\r\n"
 GZIP_MAGIC = b"\x1f\x8b\x08"
+REQUIRED = {"warc-type", "warc-record-id", "warc-date", "content-length"}
 RECORD_ID = "<urn:x-page:{}>"
 
 RECORDS = (
@@ -152,11 +153,15 @@ def parse(data: bytes, at: int) -> tuple[Found | None, str]:
         return None, "unfinished header"
     headers: dict[str, str] = {}
     for line in data[at:end].split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
-        if not colon:
+        name, colon, value = line.decode("utf-8", "replace").partition(":")
+        name = name.strip().lower()
+        # Two headers run into one where bytes between records are missing: fields come twice.
+        if not colon or name in headers or "\r" in value or "\n" in value:
             return None, "malformed header"
-        headers[name.strip().decode("utf-8", "replace").lower()] = value.strip().decode("utf-8", "replace")
-    if not re.fullmatch("[0-9]{1,18}", headers.get("content-length", "")):
+        headers[name] = value.strip()
+    if not REQUIRED.issubset(headers):
+        return None, "incomplete header"
+    if not re.fullmatch("[0-9]{1,18}", headers["content-length"]):
         return None, "no length"
     begin = end + len(TRAILER)
     stop = begin + int(headers["content-length"])
@@ -199,8 +204,7 @@ def plain_records(data: bytes) -> Iterator[Found]:
             if at < 0:
                 at = len(data)
                 break
-            if data[at - 1 : at] == b"\n":
-                found, _ = parse(data, at)
+            found, _ = parse(data, at)
         yield Found(begin, at - begin, {}, b"", reason)
 
 

@@ -1,0 +1,51 @@
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from llm_rows import documents, prose, special_rows
+
+from tallyforge.llm.lm_scoring import lm_scores, pack_counts, pack_sorted, unpack_counts, unpack_sorted
+
+
+def brute(rows, order, min_count):
+    words = [[w for w in (t or "").encode().lower().split()] for _, t in rows]
+    counts = Counter(tuple(w[i : i + k]) for w in words for k in range(1, order + 1) for i in range(len(w) - k + 1))
+    total = sum(map(len, words))
+    out = []
+    for (doc, _), w in zip(rows, words):
+        logs, backed = [], 0
+        for i in range(len(w)):
+            longest, penalty, k = min(order, i + 1), 0.0, min(order, i + 1)
+            while k > 1 and counts[tuple(w[i - k + 1 : i + 1])] < min_count:
+                k, penalty, backed = k - 1, penalty + math.log(0.4), backed + 1
+            gram = tuple(w[i - k + 1 : i + 1])
+            logs.append(penalty + math.log(counts[gram] / (counts[gram[:-1]] if k > 1 else total)))
+            assert k <= longest
+        out.append((doc, len(w), backed, round(sum(logs), 6), round(sum(logs) / len(w), 6) if w else None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("order,min_count", [(1, 2), (2, 2), (3, 2), (4, 1)])
+@pytest.mark.parametrize("batch_bytes", [2000, 10**7])
+def test_equals_brute_force(spark, order, min_count, batch_bytes):
+    rows = special_rows() + [(50 + i, "the of the of the and " * 20 + prose(i, 30)) for i in range(40)]
+    found = lm_scores(documents(spark, rows, clashing=True), order, min_count, batch_bytes).collect()
+    found = [
+        (r.doc_id, r.n_tokens, r.n_backoffs, round(r.log_score, 6), None if r.mean_log_score is None else round(r.mean_log_score, 6))
+        for r in found
+    ]
+    assert sorted(found, key=str) == brute(rows, order, min_count)
+
+
+def test_packed_arrays():
+    values = np.sort(np.random.default_rng(0).integers(0, 1 << 64, 1000, dtype=np.uint64, endpoint=False))
+    assert np.array_equal(unpack_sorted(pack_sorted(values)), values)
+    assert unpack_counts(pack_counts(np.array([0, 7, 1 << 40]))).tolist() == [0, 7, 1 << 40]
+    assert unpack_sorted(pack_sorted(values[:0])).tolist() == []
+
+
+def test_special_tables(spark):
+    assert lm_scores(documents(spark, [])).collect() == []
+    wordless = lm_scores(documents(spark, [(1, None), (2, " ")])).collect()
+    assert {tuple(r) for r in wordless} == {(1, 0, 0, 0.0, None), (2, 0, 0, 0.0, None)}

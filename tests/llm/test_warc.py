@@ -1,0 +1,116 @@
+import gzip
+import hashlib
+import random
+
+import pytest
+
+from tallyforge.llm import warc
+
+PAGES = "page_id bigint, url string, html string, payload string, digest int"
+
+
+def pages():
+    same = "x" * 1500
+    short = "y" * 999
+    rows = [(1, "http://a/?q=1", same), (2, "http://b", same), (3, None, same), (4, "http://c", short), (5, "u v\r\n", short)]
+    rows += [(6, "http://d", None), (7, "http://e", ""), (8, "http://f", "é😀\r\n\r\nWARC/1.1\r\n" + "z" * 1200)]
+    rows += [(None, "http://g", "é" * 500), (9, "http://g", "é" * 500), (10, "x", "q" * 1000), (10, "x", "q" * 1000)]
+    rows += [(i, f"http://h/{i}", f"{i} " * 400) for i in range(20, 40)]
+    return [(*r, "p", 1) for r in rows]
+
+
+def expected(rows):
+    out = []
+    for i, _, html, *_ in rows:
+        raw = (html or "").encode()
+        group = [j for j, _, h, *_ in rows if (h or "") == (html or "")]
+        keep = max((j for j in group if j is not None), default=None)
+        revisit = len(raw) >= 1000 and i != keep
+        out.append((i, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if revisit else "response", keep if revisit else None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("compressed", [True, False])
+@pytest.mark.parametrize("archive_bytes", [1000, 8_000_000])
+def test_round_trip(spark, tmp_path, compressed, archive_bytes):
+    path = str(tmp_path / "archives")
+    warc.write_archives(spark.createDataFrame(pages(), PAGES), path, compressed, archive_bytes)
+    records = warc.read_archives(spark, path)
+    found = [tuple(r) for r in warc.page_records(records).collect()]
+    assert sorted(found, key=str) == expected(pages())
+    assert records.filter("status <> 'record'").count() == 0
+    kept = {r.record_id: r.payload for r in records.filter("record_type = 'response'").collect()}
+    assert bytes(kept["<urn:x-page:8>"]) == pages()[7][2].encode()
+
+
+def test_empty_table(spark, tmp_path):
+    path = str(tmp_path / "archives")
+    warc.write_archives(spark.createDataFrame([], PAGES), path)
+    assert warc.page_records(warc.read_archives(spark, path)).collect() == []
+
+
+def archive(compressed, count=12):
+    made = [warc.record(i, f"http://x/{i}", f"page {i} ".encode() * (30 + i), False, None) for i in range(count)]
+    made = [warc.member(m) for m in made] if compressed else made
+    starts = [sum(map(len, made[:i])) for i in range(count + 1)]
+    return b"".join(made), starts
+
+
+def walk(data):
+    found = list(warc.records_of(data))
+    ids = [int(f.headers["warc-record-id"][12:-1]) for f in found if not f.reason]
+    return ids, [(f.offset, f.size) for f in found if f.reason]
+
+
+@pytest.mark.parametrize("compressed", [True, False])
+def test_salvage_around_damage(compressed):
+    data, starts = archive(compressed)
+    assert walk(data) == (list(range(12)), [])
+    damaged = bytearray(data)
+    for i in (3, 4, 8):
+        damaged[starts[i] + 40] ^= 0x5A
+        damaged[(starts[i] + starts[i + 1]) // 2] ^= 0xFF
+    ids, gaps = walk(bytes(damaged))
+    assert ids == [0, 1, 2, 5, 6, 7, 9, 10, 11]
+    assert sum(size for _, size in gaps) == starts[5] - starts[3] + starts[9] - starts[8]
+    assert gaps[0][0] == starts[3] and gaps[-1][0] == starts[8]
+
+
+@pytest.mark.parametrize("compressed", [True, False])
+def test_salvage_of_cut_and_padded_archives(compressed):
+    data, starts = archive(compressed)
+    cut = data[: starts[5] + 30] + data[starts[7] :] + b"\0" * 50
+    ids, gaps = walk(cut)
+    assert ids == [0, 1, 2, 3, 4, 7, 8, 9, 10, 11] and gaps == [(starts[5], 30), (len(cut) - 50, 50)]
+    assert walk(b"") == ([], []) and walk(b"junk") == ([], [(0, 4)])
+    ids, gaps = walk(b"junk" + data)
+    assert ids == list(range(12)) and gaps == [(0, 4)]
+
+
+@pytest.mark.parametrize("compressed", [True, False])
+def test_every_byte_is_read_or_quarantined(compressed):
+    draw = random.Random(4)
+    data, _ = archive(compressed)
+    for _ in range(40):
+        damaged = bytearray(data)
+        for _ in range(draw.randrange(1, 6)):
+            at = draw.randrange(len(damaged))
+            damaged[at : at + draw.randrange(3)] = bytes(draw.randrange(256) for _ in range(draw.randrange(4)))
+        found = list(warc.records_of(bytes(damaged)))
+        assert sum(f.size for f in found) == len(damaged)
+        for f in found:
+            if not f.reason:
+                assert warc.payload_of(f.block) in [f"page {i} ".encode() * (30 + i) for i in range(12)]
+
+
+def test_whole_file_compression_and_gaps_in_a_table(spark, tmp_path):
+    plain, starts = archive(False)
+    damaged = bytearray(plain)
+    damaged[starts[2] + 3] ^= 1
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(plain))
+    (tmp_path / "b.warc").write_bytes(bytes(damaged))
+    (tmp_path / "empty.warc").write_bytes(b"")
+    rows = warc.read_archives(spark, str(tmp_path)).collect()
+    assert len([r for r in rows if r.status == "record"]) == 12 + 11
+    gap = [r for r in rows if r.status == "quarantined"]
+    assert [(g.offset, g.bytes, g.reason) for g in gap] == [(starts[2], starts[3] - starts[2], "no version line")]
