@@ -39,18 +39,17 @@ def only_kept(docs: DataFrame, kept: DataFrame) -> DataFrame:
     Rows that repeat both id and text are one document: one row of them is returned, the one
     with the smallest hash over all its columns.
     """
-    wanted = kept.select(F.col("doc_id").alias("_wanted_id"), F.col("text_key").alias("_wanted_key"))
+    # The key is one column of one type on both sides, so the join and what follows share a shuffle.
+    key = F.struct("doc_id", F.coalesce("text_key", F.lit(0)).alias("text_key"))
+    wanted = kept.select(key.alias("_wanted"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(
         F.struct(*columns).alias("_row"),
         F.xxhash64(*columns).alias("_rank"),
-        F.col("doc_id").alias("_id"),
-        text_key(F.col("text")).alias("_key"),
+        F.struct("doc_id", text_key(F.col("text")).alias("text_key")).alias("_key"),
     )
-    match = F.col("_id").eqNullSafe(F.col("_wanted_id")) & (F.col("_key") == F.col("_wanted_key"))
-    joined = rows.join(wanted, match, "left_semi")
-    one = joined.groupBy("_id", "_key").agg(F.min_by("_row", "_rank").alias("_row"))
-    return one.select("_row.*")
+    joined = rows.join(wanted, F.col("_key") == F.col("_wanted"), "left_semi")
+    return joined.groupBy("_key").agg(F.min_by("_row", "_rank").alias("_row")).select("_row.*")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -58,17 +58,16 @@ def name_blocks(blocks: DataFrame, salts: int) -> DataFrame:
     and then among the firsts of the salts. With the square root of the rows as ``salts`` no
     group of either step is larger than about that.
     """
-    place = F.struct("doc_id", "digest", "number")
-    salted = blocks.select("text_key", "blocks", place.alias("place"), "block")
+    # Everything about a row is in its place, so both uses of the rows need the same columns
+    # and share one shuffle of the blocks.
+    place = F.struct("doc_id", "digest", "number", "text_key", "blocks")
+    salted = blocks.select(place.alias("place"), "block")
     salted = salted.withColumn("salt", F.pmod(F.xxhash64("place"), F.lit(salts)))
-    near = Window.partitionBy("block", "salt")
-    rows = salted.withColumn("near", F.min("place").over(near))
+    rows = salted.withColumn("near", F.min("place").over(Window.partitionBy("block", "salt")))
     firsts = rows.filter("place = near").select("near", "block")
     names = firsts.withColumn("name", F.min("near").over(Window.partitionBy("block")))
     names = names.select(F.col("near").alias("_near"), "name").distinct()
-    return rows.join(names, F.col("near") == F.col("_near")).select(
-        "place.*", "text_key", "blocks", "name"
-    )
+    return rows.join(names, F.col("near") == F.col("_near")).select("place.*", "name")
 
 
 def name_integers(rows: DataFrame, parts: list[str]) -> DataFrame:
