@@ -14,12 +14,21 @@ def main() -> None:
     parser.add_argument("files", nargs="+", help="order, product and customer files")
     parser.add_argument("--database", default="default", help="database of the tables")
     parser.add_argument("--strict", action="store_true", help="use the strict validation rules")
-    parser.add_argument("--json-lines", action="store_true", help="orders are JSON Lines")
+    form = parser.add_mutually_exclusive_group()
+    form.add_argument("--json-lines", dest="multiline", action="store_false", help="orders are JSON Lines")
+    form.add_argument("--json-array", dest="multiline", action="store_true", help="orders are arrays")
+    parser.add_argument("--allow-existing", action="store_true", help="use bronze tables of an earlier run")
+    parser.set_defaults(multiline=None)
     options = parser.parse_args()
 
     spark = SparkSession.builder.appName("tallyforge").getOrCreate()
     manifest = run_batch(
-        spark, options.files, options.database, options.strict, multiline=not options.json_lines
+        spark,
+        options.files,
+        options.database,
+        options.strict,
+        options.multiline,
+        allow_existing=options.allow_existing,
     )
     manifest.show(truncate=False)
 

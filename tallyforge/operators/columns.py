@@ -7,13 +7,18 @@ from collections import Counter
 from pyspark.sql import DataFrame
 
 
+def sanitized(name: str) -> str:
+    """Spaces and hyphens become underscores, other outer white space goes."""
+    return name.translate(str.maketrans(" -", "__")).strip()
+
+
 def sanitize_cols(df: DataFrame) -> DataFrame:
-    """Rename all columns: spaces and hyphens become underscores, other outer white space goes.
+    """Rename all columns by the rule of ``sanitized``.
 
     Two columns that would end up with the same name (Spark ignores case) raise here rather
     than in the write that follows.
     """
-    renamed = [name.translate(str.maketrans(" -", "__")).strip() for name in df.columns]
+    renamed = [sanitized(name) for name in df.columns]
     counts = Counter(name.lower() for name in renamed)
     clashes = sorted(old for old, new in zip(df.columns, renamed) if counts[new.lower()] > 1)
     if clashes:

@@ -31,13 +31,14 @@ def clean_customers(df: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
-def enrich_customer_data(df: DataFrame, strict: bool = False) -> DataFrame:
+def enrich_customer_data(df: DataFrame, strict: bool = False, key_type: str = "int") -> DataFrame:
     """The enriched customer: ``Customer_PK`` 1..n by ``Customer_ID``, cleaned fields, flags.
 
-    The key counts all customers, also those later found bad, and holds for one run only.
+    The key counts all customers, also those later found bad, and holds for one run only. Over
+    2,147,483,647 customers need ``key_type="bigint"``.
     """
     require_columns(df, CUSTOMERS, "customers")
-    keyed = add_dense_key(df, "Customer_PK", ["Customer_ID"])
+    keyed = add_dense_key(df, "Customer_PK", ["Customer_ID"], key_type)
     return clean_customers(keyed, strict).select(*ENRICHED_CUSTOMER)
 
 

@@ -28,7 +28,10 @@ def join_dimension(
 
     With it the dimension is measured first. Up to the limit it is broadcast, which spares the
     shuffle of the whole fact frame and makes hot keys harmless; above it the plan is as before.
+    A session that turned broadcasts off gets none.
     """
+    if int(fact.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) < 0:
+        broadcast_limit = None
     if broadcast_limit and row_bytes(dimension) <= broadcast_limit:
         dimension = F.broadcast(dimension)
     return fact.join(dimension, key, "inner")

@@ -1,98 +1,52 @@
 """Dense surrogate keys without a one-task sort.
 
-``row_number`` over an unpartitioned window pulls the whole table into one task. Here the
-ordering key is cut into ranges; rows are numbered inside their range, in parallel, and the
-number of rows in the ranges before is added.
+``row_number`` over an unpartitioned window pulls the whole table into one task. Here Spark's
+range partitioning sorts the rows into partitions in order; the sorted rows are written with
+their place, and the number of rows in the partitions before is added.
 """
 
 from __future__ import annotations
 
-import math
-from itertools import accumulate
-
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyforge.operators.ranges import fixed_array, range_number, sample_ranges
+from tallyforge.workspace import shared_folder
 
-ROWS_PER_RANGE = 500_000
-MAX_RANGES = 4096
-COPIES_PER_CHUNK = 100_000
 INT_MAX = 2**31 - 1
+# A row's place is its partition, and below that many bits its number in the partition.
+PLACE_BITS = 33
 
 
 def add_dense_key(
-    df: DataFrame,
-    name: str,
-    order_by: list[str],
-    key_type: str = "int",
-    rows_per_range: int = ROWS_PER_RANGE,
+    df: DataFrame, name: str, order_by: list[str], key_type: str = "int", partitions: int | None = None
 ) -> DataFrame:
     """Add ``name``: 1..n in ascending order of ``order_by``, NULLs first.
 
-    Rows with equal ``order_by`` are ordered by a hash of the whole row, then by its columns.
-
-    A value that fills several ranges by itself is cut further along that hash. If that does
-    not help, the rows are copies of one another: copies are then counted, numbered as one row
-    and expanded again, so that no task holds a whole group of them.
+    Rows with equal ``order_by`` are ordered by a hash of the whole row, so a frequent value is
+    spread over several partitions; copies of one row follow their place in the input, which
+    spreads them too. ``df`` is read twice, for the sample and for the shuffle, and everything
+    after that reads the written rows. ``partitions`` defaults to the session's number.
     """
-    total = df.count()
+    spark = df.sparkSession
+    input_place = F.monotonically_increasing_id()
+    order = [*(F.col(f"`{c}`") for c in order_by), F.col("_hash"), F.col("_copy")]
+    rows = df.withColumns({"_hash": F.xxhash64(*df.columns), "_copy": input_place})
+    ranged = rows.repartitionByRange(*([partitions] if partitions else []), *order)
+    placed = ranged.sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
+    folder = shared_folder(spark)
+    placed.drop("_hash", "_copy").write.parquet(folder)
+    written = spark.read.schema(placed.drop("_hash", "_copy").schema).parquet(folder)
+
+    part = F.shiftright("_place", PLACE_BITS)
+    sizes = written.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    total = sizes.agg(F.sum("_n")).first()[0] or 0
     if key_type == "int" and total > INT_MAX:
         raise ValueError(f"{total} rows need a bigint {name}; pass key_type='bigint'")
-
-    parallel = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(MAX_RANGES, max(parallel, math.ceil(total / rows_per_range)))
-    tie_break = F.xxhash64(*df.columns)
-
-    order = [F.col(c) for c in order_by]
-    ranges = sample_ranges(df, order, wanted, total)
-    if ranges.oversized():
-        order = [*order, tie_break]
-        ranges = sample_ranges(df, order, wanted, total)
-        if ranges.oversized():
-            return _number_copies(df, name, order, ranges.bounds, key_type)
-
-    ranged = df.withColumn("_range", range_number(df, order, ranges.bounds))
-    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
-    rest = [c for c in df.columns if c not in order_by]
-    full_order = Window.partitionBy("_range").orderBy(*order_by, tie_break, *rest)
-    number = _rows_before(sizes, len(ranges.bounds)) + F.row_number().over(full_order)
-    return ranged.select(number.cast(key_type).alias(name), *df.columns)
-
-
-def _rows_before(sizes: DataFrame, last: int) -> Column:
-    """Rows in the ranges before ``_range``; ``sizes`` has one row per range."""
-    by_range = {row["_range"]: row.n for row in sizes.collect()}
-    before = [0, *accumulate(by_range.get(i, 0) for i in range(last))]
-    return F.get(fixed_array([str(n) for n in before], "bigint"), F.col("_range"))
-
-
-def _number_copies(
-    df: DataFrame, name: str, order: list[Column], bounds: list[Row], key_type: str
-) -> DataFrame:
-    """Dense key for a frame in which one row occurs very often.
-
-    Counting the copies combines them before the shuffle. Expanding them goes through chunks
-    that are spread over the cluster first.
-    """
-    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    ranged = distinct.withColumn("_range", range_number(df, order, bounds))
-    sizes = ranged.groupBy("_range").agg(F.sum("_copies").alias("n"))
-    in_order = (
-        Window.partitionBy("_range")
-        .orderBy(*order, *df.columns)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    first = _rows_before(sizes, len(bounds)) + F.sum("_copies").over(in_order) - F.col("_copies")
-    chunks = (
-        ranged.withColumn("_first", first)
-        .withColumn("_end", F.col("_first") + F.col("_copies"))
-        .withColumn(
-            "_from", F.explode(F.expr(f"sequence(_first, _end - 1, bigint({COPIES_PER_CHUNK}))"))
-        )
-        .withColumn("_to", F.least(F.col("_from") + COPIES_PER_CHUNK, F.col("_end")) - 1)
-        .repartition("_from")
-    )
-    numbered = chunks.withColumn("_number", F.explode(F.sequence("_from", "_to")))
-    return numbered.select((F.col("_number") + 1).cast(key_type).alias(name), *df.columns)
+    # One row for each partition of the sort, so this window and the broadcast stay small.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    firsts = sizes.select(F.col("_part"), first.alias("_first"))
+    numbered = written.withColumn("_part", part).join(F.broadcast(firsts), "_part")
+    number = F.col("_first") + F.col("_place") - F.shiftleft("_part", PLACE_BITS) + 1
+    return numbered.select(number.cast(key_type).alias(name), *[F.col(f"`{c}`") for c in df.columns])

@@ -6,17 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.money import percent_of
-from tallyforge.operators.columns import require_columns
+from tallyforge.operators.columns import require_columns, sanitized
 from tallyforge.operators.joins import join_dimension
-from tallyforge.schemas import GOLD_ORDERS
+from tallyforge.schemas import GOLD_ORDERS, ORDERS_FILE
 
 # Fixed value: how order files write a date.
 ORDER_DATE_FORMAT = "d/M/yyyy"
 
-ORDER_COLUMNS = [
-    "Row_ID", "Order_ID", "Order_Date", "Ship_Date", "Ship_Mode", "Quantity", "Price",
-    "Discount", "Profit", "Customer_ID", "Product_ID",
-]
+ORDER_COLUMNS = [sanitized(name) for name in ORDERS_FILE]
 
 
 def refine_orders(orders: DataFrame) -> DataFrame:

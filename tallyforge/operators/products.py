@@ -9,7 +9,10 @@ from tallyforge.operators.keys import add_dense_key
 from tallyforge.schemas import PRODUCTS, SILVER_PRODUCT
 
 
-def enrich_product_data(df: DataFrame) -> DataFrame:
-    """The product with ``Product_PK`` 1..n by ``Product_ID``; the key holds for one run only."""
+def enrich_product_data(df: DataFrame, key_type: str = "int") -> DataFrame:
+    """The product with ``Product_PK`` 1..n by ``Product_ID``; the key holds for one run only.
+
+    Over 2,147,483,647 products need ``key_type="bigint"``.
+    """
     require_columns(df, PRODUCTS, "products")
-    return add_dense_key(df, "Product_PK", ["Product_ID"]).select(*SILVER_PRODUCT)
+    return add_dense_key(df, "Product_PK", ["Product_ID"], key_type).select(*SILVER_PRODUCT)

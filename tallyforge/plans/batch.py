@@ -6,20 +6,31 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.operators.customers import bad_customers, enrich_customer_data, valid_customers
+from tallyforge.operators.customers import enrich_customer_data, with_status
 from tallyforge.operators.joins import BROADCAST_LIMIT
 from tallyforge.operators.orders import enrich_order_data
 from tallyforge.operators.products import enrich_product_data
 from tallyforge.operators.profit import profit_agg
+from tallyforge.schemas import ENRICHED_CUSTOMER, SILVER_CUSTOMER
 from tallyforge.sinks.tables import (
     drop_table,
+    overwrite_by_status,
     overwrite_clustered,
     overwrite_partitioned,
     overwrite_table,
     qualified,
     reused,
 )
-from tallyforge.sources.ingest import ingest
+from tallyforge.sources.ingest import MANIFEST, ROUTES, ingest_entries
+
+# Fixed value: the name of the global view over the order lines.
+ORDERS_VIEW = "enriched_ord_df"
+
+CUSTOMER_TABLES = {
+    "valid": ("silver_customer", SILVER_CUSTOMER),
+    "bad": ("bad_silver_customer", ENRICHED_CUSTOMER),
+    "unclassified": ("unclassified_silver_customer", ENRICHED_CUSTOMER),
+}
 
 
 def run_batch(
@@ -27,32 +38,49 @@ def run_batch(
     paths: Iterable[str],
     database: str = "default",
     strict: bool = False,
-    multiline: bool = True,
+    multiline: bool | None = None,
     broadcast_limit: int | None = BROADCAST_LIMIT,
+    options: dict | None = None,
+    allow_existing: bool = False,
+    key_type: str = "int",
+    orders_view: str = ORDERS_VIEW,
 ) -> DataFrame:
     """Load the files, build the silver and gold tables, and return the load manifest.
 
-    Each layer reads the written tables of the one before, so a lost executor costs the step
-    under way and nothing earlier.
+    All three bronze tables must be loaded by this run; ``allow_existing`` takes one that no path
+    was given for as an earlier run left it. Each layer reads the written tables of the one
+    before, so a lost executor costs the step under way and nothing earlier.
     """
-    manifest = ingest(spark, paths, database, multiline)
-    failed = manifest.filter("status = 'error' AND table_name IS NOT NULL").collect()
+    entries = ingest_entries(spark, paths, database, multiline, options)
+    failed = [(e["file"], e["error"]) for e in entries if e["status"] == "error" and e["table_name"]]
     if failed:
-        raise RuntimeError(f"sources not loaded: {[(row.file, row.error) for row in failed]}")
-    build_silver(spark, database, strict)
-    build_gold(spark, database, broadcast_limit)
-    return manifest
+        raise RuntimeError(f"sources not loaded: {failed}")
+    missing = set(ROUTES.values()).difference(e["table_name"] for e in entries)
+    if missing and not allow_existing:
+        unknown = [e["file"] for e in entries if not e["table_name"]]
+        raise RuntimeError(f"no source for {sorted(missing)}; files of unknown kind: {unknown}")
+    build_silver(spark, database, strict, key_type)
+    build_gold(spark, database, broadcast_limit, orders_view=orders_view)
+    return spark.createDataFrame(entries, MANIFEST)
 
 
-def build_silver(spark: SparkSession, database: str = "default", strict: bool = False) -> None:
-    """Write valid customers, bad customers and keyed products."""
-    for table in ("silver_customer", "bad_silver_customer"):
-        drop_table(spark, table, database)
+def build_silver(
+    spark: SparkSession, database: str = "default", strict: bool = False, key_type: str = "int"
+) -> None:
+    """Write the checked customers by status, a table for each status, and keyed products.
+
+    A customer with an unknown name or phone may be neither valid nor bad; it is kept as
+    ``unclassified``, so the three tables hold every customer once.
+    """
     bronze = spark.table(qualified("bronze_customer", database))
-    with reused(enrich_customer_data(bronze, strict)) as customers:
-        overwrite_table(valid_customers(customers), "silver_customer", database)
-        overwrite_table(bad_customers(customers), "bad_silver_customer", database)
-    products = enrich_product_data(spark.table(qualified("bronze_products", database)))
+    drop_table(spark, "checked_customer", database)
+    checked = with_status(enrich_customer_data(bronze, strict, key_type))
+    overwrite_by_status(checked, "checked_customer", database)
+    written = spark.table(qualified("checked_customer", database))
+    for status, (table, columns) in CUSTOMER_TABLES.items():
+        drop_table(spark, table, database)
+        overwrite_table(written.filter(written.status == status).select(*columns), table, database)
+    products = enrich_product_data(spark.table(qualified("bronze_products", database)), key_type)
     overwrite_table(products, "silver_products", database)
 
 
@@ -73,6 +101,7 @@ def build_gold(
     database: str = "default",
     broadcast_limit: int | None = BROADCAST_LIMIT,
     keep_in_memory: bool = False,
+    orders_view: str = ORDERS_VIEW,
 ) -> None:
     """Write the order lines, clustered by ``Row_ID``, and the profit aggregate by year.
 
@@ -82,13 +111,18 @@ def build_gold(
     for table in ("gold_orders", "gold_profit_agg"):
         drop_table(spark, table, database)
     lines = enriched_orders(spark, database, broadcast_limit)
-    row_ids = spark.table(qualified("bronze_orders", database)).select("Row_ID")
     if keep_in_memory:
         with reused(lines):
-            overwrite_clustered(lines, "gold_orders", "Row_ID", database, source=row_ids)
+            overwrite_clustered(lines, "gold_orders", "Row_ID", database)
             overwrite_partitioned(profit_agg(lines), "gold_profit_agg", "Year", database)
     else:
-        overwrite_clustered(lines, "gold_orders", "Row_ID", database, source=row_ids)
+        overwrite_clustered(lines, "gold_orders", "Row_ID", database)
         written = spark.table(qualified("gold_orders", database))
         overwrite_partitioned(profit_agg(written), "gold_profit_agg", "Year", database)
-    spark.table(qualified("gold_orders", database)).createOrReplaceGlobalTempView("enriched_ord_df")
+    publish_orders(spark, database, orders_view)
+
+
+def publish_orders(spark: SparkSession, database: str = "default", view: str = ORDERS_VIEW) -> None:
+    """Register the written order lines as a global view. Its name is the application's, so
+    batches over several databases in one application give each a name of its own."""
+    spark.table(qualified("gold_orders", database)).createOrReplaceGlobalTempView(view)

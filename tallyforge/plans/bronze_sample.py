@@ -91,8 +91,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Product ID": F.col("l_partkey").cast("string"),
         "Profit": (price * margin).cast("double"),
         "Quantity": F.col("l_quantity").cast("int"),
-        # Beyond int the value is dropped, as reading it from an order file would drop it.
-        "Row ID": (F.col("l_orderkey") * 10 + F.col("l_linenumber")).try_cast("int"),
+        "Row ID": (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint"),
         "Ship Date": F.date_format(F.col("l_shipdate").cast("date"), "d/M/yyyy"),
         "Ship Mode": F.col("o_orderpriority"),
     }

@@ -7,6 +7,7 @@ in the folder the session shares between executors, and return what they read ba
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from tallyforge.operators.columns import sanitize_cols
 from tallyforge.operators.keys import add_dense_key
 from tallyforge.operators.orders import enrich_order_data, low_profit_orders
 from tallyforge.operators.products import enrich_product_data
-from tallyforge.plans.batch import run_batch
+from tallyforge.plans.batch import CUSTOMER_TABLES, build_silver, publish_orders, run_batch
 from tallyforge.plans.bronze_sample import bronze_customers, bronze_products, order_lines
 from tallyforge.sinks.tables import (
     overwrite_by_status,
@@ -26,8 +27,13 @@ from tallyforge.sinks.tables import (
     overwrite_table,
     qualified,
 )
-from tallyforge.sources.files import read_customers, read_orders_json, read_products_csv
-from tallyforge.sources.ingest import ingest, row_counts
+from tallyforge.sources.files import (
+    read_customers,
+    read_orders_json,
+    read_products_csv,
+    read_table_path,
+)
+from tallyforge.sources.ingest import ingest, load_file, row_counts
 from tallyforge.workspace import scratch_database, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +42,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 REPORT_CUSTOMER = "SharedName"
 REPORT_CATEGORY = "ECONOMY"
 
+ORDERS_PER_ARRAY = 10_000
+
 
 # --- frames the queries share -------------------------------------------------------------
 
@@ -76,7 +84,8 @@ def profit_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profit_by_customer_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profit.profit_by_customer(profit_lines(spark, sf_dir), REPORT_CUSTOMER)
+    """Over the written aggregate, so that the filter reaches the files."""
+    return profit.profit_by_customer(written_aggregate(spark, sf_dir), REPORT_CUSTOMER)
 
 
 def profit_by_year_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,15 +97,23 @@ def profit_by_year_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profit_by_year_category_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profit.profit_by_year_category(profit_lines(spark, sf_dir), REPORT_CATEGORY)
+    return profit.profit_by_year_category(written_aggregate(spark, sf_dir), REPORT_CATEGORY)
 
 
 def gold_profit_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profit.profit_agg(enriched_orders(spark, sf_dir))
 
 
+def written_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold aggregate as a table with a folder per year, read by name."""
+    database = scratch_database(spark)
+    overwrite_partitioned(gold_profit_agg(spark, sf_dir), "gold_profit_agg", "Year", database)
+    return spark.table(qualified("gold_profit_agg", database))
+
+
 def profit_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold_profit_agg(spark, sf_dir).select("*")
+    written_aggregate(spark, sf_dir).createOrReplaceTempView("profit_detail_source")
+    return spark.sql("SELECT * FROM profit_detail_source")
 
 
 def gold_orders_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,36 +173,85 @@ def _write_csv(df: DataFrame, path: str) -> None:
     df.write.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
-def scan_orders_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/Orders.json"
-    order_lines(spark, sf_dir).write.json(path)
-    return sanitize_cols(read_orders_json(spark, path, multiline=False))
+def _write_arrays(df: DataFrame, path: str) -> None:
+    """Files of one JSON array each, of about ``ORDERS_PER_ARRAY`` rows."""
+    files = max(1, df.count() // ORDERS_PER_ARRAY)
+    share = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files))
+    arrays = df.groupBy(share).agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
 
 
-def scan_products_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/Products.csv"
-    _write_csv(bronze_products(spark, sf_dir), path)
+def source_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the three sources, as a shop would deliver them."""
+    folder = shared_folder(spark)
+    order_lines(spark, sf_dir).write.json(f"{folder}/Orders.json")
+    _write_csv(bronze_products(spark, sf_dir), f"{folder}/Products.csv")
+    _write_csv(bronze_customers(spark, sf_dir), f"{folder}/Customer.csv")
+    return folder
+
+
+def source_paths(folder: str) -> list[str]:
+    return [f"{folder}/{name}" for name in ("Customer.csv", "Orders.json", "Products.csv")]
+
+
+# The queries below write their source files first, unless they are given a folder of them.
+
+
+def scan_orders_json(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    path = f"{folder or shared_folder(spark)}/Orders.json"
+    if folder is None:
+        order_lines(spark, sf_dir).write.json(path)
+    return sanitize_cols(read_orders_json(spark, path))
+
+
+def scan_orders_json_array(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Order files that hold one array each, the form a shop exports."""
+    path = f"{folder or shared_folder(spark)}/Orders_arrays"
+    if folder is None:
+        _write_arrays(order_lines(spark, sf_dir), path)
+    return sanitize_cols(read_orders_json(spark, path))
+
+
+def scan_products_csv(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    path = f"{folder or shared_folder(spark)}/Products.csv"
+    if folder is None:
+        _write_csv(bronze_products(spark, sf_dir), path)
     return read_products_csv(spark, path)
 
 
-def scan_customer_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/Customer.csv"
-    _write_csv(bronze_customers(spark, sf_dir), path)
+def scan_customer_files(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    path = f"{folder or shared_folder(spark)}/Customer.csv"
+    if folder is None:
+        _write_csv(bronze_customers(spark, sf_dir), path)
     return read_customers(spark, path)
 
 
-def ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All three sources written out and loaded, along with a file of unknown kind."""
-    folder = shared_folder(spark)
-    order_lines(spark, sf_dir).write.json(f"{folder}/Orders.json")
-    _write_csv(bronze_products(spark, sf_dir), f"{folder}/Products.csv")
-    _write_csv(bronze_customers(spark, sf_dir), f"{folder}/Customer.csv")
-    names = ["Customer.csv", "Orders.json", "Products.csv", "Returns.csv"]
-    paths = [f"{folder}/{name}" for name in names]
-    manifest = ingest(spark, paths, scratch_database(spark), multiline=False)
+def table_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark)
+    enriched_products(spark, sf_dir).write.parquet(path)
+    return read_table_path(spark, path)
+
+
+def ingest_manifest(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """All three sources loaded, along with a file of unknown kind."""
+    folder = folder or source_files(spark, sf_dir)
+    paths = [*source_paths(folder), f"{folder}/Returns.csv"]
+    manifest = ingest(spark, paths, scratch_database(spark))
     return manifest.select("file", "table_name", "status", "row_count")
 
 
+def ingest_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines delivered in several places, in both forms of JSON, loaded as one table."""
+    folder, database = shared_folder(spark), scratch_database(spark)
+    lines = order_lines(spark, sf_dir)
+    third = F.pmod(F.col("`Row ID`"), F.lit(3))
+    paths = [f"{folder}/Orders_{i}.json" for i in range(3)]
+    for i, path in enumerate(paths):
+        lines.filter(third == i).write.json(path)
+    ingest(spark, paths, database)
+    return spark.table(qualified("bronze_orders", database))
+
+
 def load_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of each table, counted while its source is loaded."""
     folder = shared_folder(spark)
@@ -193,34 +259,54 @@ def load_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     _write_csv(bronze_products(spark, sf_dir), f"{folder}/Products.csv")
     bronze_customers(spark, sf_dir).write.parquet(f"{folder}/Customer.parquet")
     names = ["Customer.parquet", "Orders.json", "Products.csv"]
-    paths = [f"{folder}/{name}" for name in names]
-    return row_counts(ingest(spark, paths, scratch_database(spark), multiline=False))
+    return row_counts(ingest(spark, [f"{folder}/{n}" for n in names], scratch_database(spark)))
 
 
-def batch_profit_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+def loaded_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products read through the session's view on what was loaded last."""
+    path = f"{shared_folder(spark)}/Products.csv"
+    _write_csv(bronze_products(spark, sf_dir), path)
+    load_file(path, spark, scratch_database(spark))
+    return spark.table("bronze_products_loaded")
+
+
+def batch_profit_agg(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
     """The whole batch, from source files to the gold aggregate, which is read by name."""
-    folder, database = shared_folder(spark), scratch_database(spark)
-    order_lines(spark, sf_dir).write.json(f"{folder}/Orders.json")
-    _write_csv(bronze_products(spark, sf_dir), f"{folder}/Products.csv")
-    _write_csv(bronze_customers(spark, sf_dir), f"{folder}/Customer.csv")
-    paths = [f"{folder}/{name}" for name in ("Customer.csv", "Orders.json", "Products.csv")]
-    run_batch(spark, paths, database, multiline=False)
+    database = scratch_database(spark)
+    run_batch(spark, source_paths(folder or source_files(spark, sf_dir)), database)
     return spark.sql(f"SELECT * FROM {qualified('gold_profit_agg', database)}")
 
 
+def batch_customer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in each of the three tables the batch splits them into."""
+    database = scratch_database(spark)
+    ingest(spark, source_paths(source_files(spark, sf_dir)), database)
+    build_silver(spark, database)
+    counts = [
+        spark.table(qualified(table, database)).agg(F.lit(status).alias("status"), F.count("*").alias("n"))
+        for status, (table, _) in CUSTOMER_TABLES.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def orders_global_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines read through the global view on the written table."""
+    database = scratch_database(spark)
+    overwrite_table(enriched_orders(spark, sf_dir), "gold_orders", database)
+    publish_orders(spark, database, view := f"orders_{database}")
+    return spark.table(f"global_temp.{view}")
+
+
 # --- sinks --------------------------------------------------------------------------------
 
 
 def gold_profit_agg_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    database = scratch_database(spark)
-    overwrite_partitioned(gold_profit_agg(spark, sf_dir), "gold_profit_agg", "Year", database)
-    return spark.table(qualified("gold_profit_agg", database))
+    return written_aggregate(spark, sf_dir)
 
 
 def gold_orders_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = scratch_database(spark)
-    lines, row_ids = enriched_orders(spark, sf_dir), sanitize_columns(spark, sf_dir).select("Row_ID")
-    overwrite_clustered(lines, "gold_orders", "Row_ID", database, source=row_ids)
+    overwrite_clustered(enriched_orders(spark, sf_dir), "gold_orders", "Row_ID", database)
     return spark.table(qualified("gold_orders", database))
 
 
@@ -281,10 +367,16 @@ def all_queries() -> dict[str, Query]:
         "cast_audit": cast_audit,
         "sanitize_columns": sanitize_columns,
         "scan_orders_json": scan_orders_json,
+        "scan_orders_json_array": scan_orders_json_array,
         "scan_products_csv": scan_products_csv,
         "scan_customer_files": scan_customer_files,
+        "table_by_path": table_by_path,
+        "loaded_view": loaded_view,
+        "orders_global_view": orders_global_view,
         "load_row_counts": load_row_counts,
+        "ingest_many_files": ingest_many_files,
         "ingest_manifest": ingest_manifest,
         "schema_evolving_overwrite": schema_evolving_overwrite,
         "batch_profit_agg": batch_profit_agg,
+        "batch_customer_status": batch_customer_status,
     }

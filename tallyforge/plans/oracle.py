@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-# The bronze frames, and what the stages make of them, as common table expressions. Each
+# The patterns and column names in these statements restate the rules of the
+# pipeline. The bronze frames, and what the stages make of them, as common table expressions. Each
 # query is prefixed with all of them; unused ones cost nothing.
 FRAMES = r"""
 WITH bronze_customer AS (
@@ -42,7 +43,7 @@ bronze_orders AS (
     CAST(l_extendedprice AS DECIMAL(18,2))
       * (CAST(0.20 AS DECIMAL(4,2)) - 4 * CAST(l_discount AS DECIMAL(4,2))) AS exact_profit,
     CAST(l_quantity AS INTEGER) AS "Quantity",
-    TRY_CAST(l_orderkey * 10 + l_linenumber AS INTEGER) AS "Row_ID",
+    CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS "Row_ID",
     strftime(l_shipdate, '%-d/%-m/%Y') AS "Ship_Date", o_orderpriority AS "Ship_Mode"
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ),
@@ -187,6 +188,12 @@ def all_oracles() -> dict[str, str]:
         ),
         "sanitize_columns": _ORDERS,
         "scan_orders_json": _ORDERS,
+        "scan_orders_json_array": _ORDERS,
+        "ingest_many_files": _ORDERS,
+        "table_by_path": "SELECT * FROM products",
+        "loaded_view": "SELECT * FROM bronze_products",
+        "orders_global_view": "SELECT * FROM enriched",
+        "batch_customer_status": _COUNTS.format("checked"),
         "scan_products_csv": "SELECT * FROM bronze_products",
         "scan_customer_files": "SELECT * FROM bronze_customer",
         "load_row_counts": (

@@ -17,7 +17,7 @@ ORDERS_FILE = {
     "Product ID": "string",
     "Profit": "double",
     "Quantity": "int",
-    "Row ID": "int",
+    "Row ID": "bigint",
     "Ship Date": "string",
     "Ship Mode": "string",
 }
@@ -69,7 +69,7 @@ ENRICHED_CUSTOMER = SILVER_CUSTOMER | CUSTOMER_FLAGS
 SILVER_PRODUCT = {"Product_PK": "int"} | PRODUCTS
 
 GOLD_ORDERS = {
-    "Row_ID": "int",
+    "Row_ID": "bigint",
     "Order_ID": "string",
     "Order_Date": "date",
     "Ship_Date": "date",

@@ -5,17 +5,15 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from contextlib import contextmanager
-from itertools import accumulate
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.operators.ranges import fixed_array, range_number, sample_ranges
+from tallyforge.workspace import shared_folder
 
 ROWS_PER_FILE = 1_000_000
 MIN_ROWS_PER_FILE = 50_000
-MAX_FILES = 100_000
 
 
 def qualified(table: str, database: str = "default") -> str:
@@ -76,56 +74,39 @@ def overwrite_partitioned(
     writer.saveAsTable(qualified(table, database))
 
 
-def cluster_by(
-    df: DataFrame, column: str, source: DataFrame | None = None, partitions: int | None = None
-) -> DataFrame:
+def cluster_by(df: DataFrame, column: str, partitions: int) -> DataFrame:
     """Partition by ranges of ``column`` and sort, so that each file covers a narrow range.
 
-    The ranges come from a sample of ``column`` in ``source``, a cheaper frame with about the
-    same values, for instance the fact table before its joins. Spark's own range partitioning
-    would sample ``df`` itself, that is, run all the joins below it a second time.
-
-    A value that fills several partitions is spread over as many, by a hash of the row and the
-    number of the task that produced it. Both are the same when a task runs again, and the task
-    number parts even copies of one row. Only the files of such a value share a value.
+    Spark samples ``df`` for the ranges and then reads it again, so it should be a written table.
+    Rows of a frequent value are told apart by a hash, and copies of one row by their place in
+    the input, so such a value is spread over several files.
     """
-    source = (df if source is None else source).select(column)
-    kind = source.dtypes[0][1]
-    total = source.count()
-    ranges = sample_ranges(source, [F.col(column)], partitions or _file_count(df, total), total)
-    pieces = ranges.pieces()
-    first = list(accumulate(pieces, initial=0))
-    ranged = df.withColumn("_range", range_number(df, [F.col(column)], ranges.bounds))
-    place = F.get(fixed_array([str(n) for n in first[:-1]], "int"), F.col("_range"))
-    if ranges.oversized():
-        parts = F.get(fixed_array([str(n) for n in pieces], "int"), F.col("_range"))
-        start = F.get(fixed_array([None, *(row[0] for row in ranges.bounds)], kind), F.col("_range"))
-        # Counting on from the row's own place deals the copies of a row out evenly by task.
-        own = F.pmod(F.xxhash64(*df.columns), parts).cast("int")
-        spread = F.pmod(own + F.spark_partition_id(), parts)
-        # Values between the frequent one and the next boundary stay together, after it.
-        place = place + F.when(F.col(column).eqNullSafe(start), spread).otherwise(parts - 1)
-    placed = ranged.withColumn("_place", place).repartitionById(first[-1], "_place")
-    return placed.sortWithinPartitions(column).select(*df.columns)
-
-
-def _file_count(df: DataFrame, rows: int) -> int:
+    keys = {"_hash": F.xxhash64(*df.columns), "_copy": F.monotonically_increasing_id()}
+    ranged = df.withColumns(keys).repartitionByRange(partitions, column, "_hash", "_copy")
+    return ranged.sortWithinPartitions(column).drop(*keys)
+
+
+def file_count(spark: SparkSession, rows: int) -> int:
     """Files of up to ``ROWS_PER_FILE`` rows, fewer per file while that keeps tasks busy."""
-    parallel = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
     busy = min(parallel, rows // MIN_ROWS_PER_FILE)
-    return min(MAX_FILES, max(1, busy, math.ceil(rows / ROWS_PER_FILE)))
+    return max(1, busy, math.ceil(rows / ROWS_PER_FILE))
 
 
 def overwrite_clustered(
-    df: DataFrame,
-    table: str,
-    column: str,
-    database: str = "default",
-    source: DataFrame | None = None,
-    partitions: int | None = None,
+    df: DataFrame, table: str, column: str, database: str = "default", partitions: int | None = None
 ) -> None:
-    """Replace a table whose files cover narrow ranges of ``column``; see ``cluster_by``."""
-    ordered = cluster_by(with_table_schema(df, table, database), column, source, partitions)
+    """Replace a table whose files cover narrow ranges of ``column``; see ``cluster_by``.
+
+    The rows are first written as they come, so what is below ``df`` runs once, and the written
+    rows are then clustered.
+    """
+    spark = df.sparkSession
+    whole = with_table_schema(df, table, database)
+    folder = shared_folder(spark)
+    whole.write.parquet(folder)
+    written = spark.read.schema(whole.schema).parquet(folder)
+    ordered = cluster_by(written, column, partitions or file_count(spark, written.count()))
     ordered.write.format("parquet").mode("overwrite").saveAsTable(qualified(table, database))
 
 

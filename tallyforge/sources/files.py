@@ -2,42 +2,99 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyforge.schemas import CUSTOMERS, ORDERS_FILE, PRODUCTS, ddl
-from tallyforge.sources.workbooks import read_customer_workbooks
+
+# The text after a file's last full stop, behind which a compression may follow.
+FORMATS = {
+    "json": "json", "jsonl": "json", "ndjson": "json", "csv": "csv", "txt": "csv", "parquet": "parquet",
+}
+COMPRESSION = "gz|bz2|zst|zstd|snappy|lz4|deflate"
+CORRUPT = "_corrupt_record"
+
+
+def file_format(spark: SparkSession, path: str, *accepted: str) -> str:
+    """The one format of all files at ``path``, which may be a file, a folder or a pattern.
+
+    No file, an unknown ending, several formats, or one that is not ``accepted`` raises.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).inputFiles()
+    if not files:
+        raise FileNotFoundError(f"no file at {path}")
+    ends = [re.search(rf"\.([^./]+?)(\.({COMPRESSION}))?$", name.lower()) for name in files]
+    endings = {end[1] if end else "" for end in ends}
+    found = {FORMATS.get(ending, f"unknown ending '{ending}'") for ending in endings}
+    if len(found) > 1 or not found <= set(accepted):
+        raise ValueError(f"{path} holds {sorted(found)}; one of {list(accepted)} is read")
+    return found.pop()
+
+
+def holds_arrays(spark: SparkSession, path: str) -> bool:
+    """Whether an order file is one JSON value over several lines, rather than one on each line.
+
+    Only what stands before the first order, and the beginning of that, is looked at.
+    """
+    start = spark.read.option("lineSep", "{").option("recursiveFileLookup", "true").text(path).take(2)
+    before = start[0][0].lstrip("﻿ \t\r\n") if start else ""
+    return before.startswith("[") or len(start) > 1 and start[1][0].lstrip(" \t\r").startswith("\n")
 
 
-def read_orders_json(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_orders_json(
+    spark: SparkSession, path: str, multiline: bool | None = None, corrupt: bool = False
+) -> DataFrame:
     """Orders from JSON. Fields match by exact name; a value of another type becomes NULL.
 
-    ``multiline`` accepts a file holding one array of orders, which is read by a single task:
-    supply many such files, or pass ``multiline=False`` for JSON Lines, which Spark splits.
+    ``multiline`` reads files that hold one array of orders, each in a single task: supply many
+    such files, or JSON Lines, which Spark splits. By default the first file decides.
+    ``corrupt`` adds a column with the text of orders that do not fit the schema.
     """
-    return spark.read.schema(ddl(ORDERS_FILE)).json(path, multiLine=multiline)
+    if multiline is None:
+        multiline = holds_arrays(spark, path)
+    return _reader(spark, ORDERS_FILE, corrupt).json(path, multiLine=multiline)
 
 
 def read_products_csv(
-    spark: SparkSession, path: str, check_header: bool = False, doubled_quotes: bool = False
+    spark: SparkSession,
+    path: str,
+    check_header: bool = False,
+    doubled_quotes: bool = False,
+    corrupt: bool = False,
 ) -> DataFrame:
     """Products from CSV with a header line. Columns are bound by position.
 
     ``check_header`` makes a header with other names or another order an error, and
-    ``doubled_quotes`` reads ``""`` inside a quoted value as one quote.
+    ``doubled_quotes`` reads ``""`` inside a quoted value as one quote. ``corrupt`` adds a column
+    with the text of rows with too few or too many values.
     """
     options = {"escape": '"'} if doubled_quotes else {}
-    reader = spark.read.schema(ddl(PRODUCTS)).options(**options)
+    reader = _reader(spark, PRODUCTS, corrupt).options(**options)
+    return reader.csv(path, header=True, enforceSchema=not check_header)
+
+
+def read_customers(
+    spark: SparkSession,
+    path: str,
+    check_header: bool = False,
+    doubled_quotes: bool = True,
+    corrupt: bool = False,
+) -> DataFrame:
+    """Customers from CSV with a header line, or from Parquet, as the files' endings say."""
+    if file_format(spark, path, "csv", "parquet") == "parquet":
+        rows = spark.read.schema(ddl(CUSTOMERS)).parquet(path)
+        return rows.withColumn(CORRUPT, F.lit(None).cast("string")) if corrupt else rows
+    options = {"escape": '"'} if doubled_quotes else {}
+    reader = _reader(spark, CUSTOMERS, corrupt).options(**options)
     return reader.csv(path, header=True, enforceSchema=not check_header)
 
 
-def read_customers(spark: SparkSession, path: str) -> DataFrame:
-    """Customers from workbooks, or from CSV or Parquet where the path ends that way."""
-    kind = path.rstrip("/").rsplit(".", 1)[-1].lower()
-    if kind == "csv":
-        return spark.read.schema(ddl(CUSTOMERS)).csv(path, header=True)
-    if kind == "parquet":
-        return spark.read.schema(ddl(CUSTOMERS)).parquet(path)
-    return read_customer_workbooks(spark, path)
+def _reader(spark: SparkSession, schema: dict[str, str], corrupt: bool):
+    columns = schema | {CORRUPT: "string"} if corrupt else schema
+    reader = spark.read.schema(ddl(columns)).option("recursiveFileLookup", "true")
+    return reader.option("columnNameOfCorruptRecord", CORRUPT)
 
 
 def read_table_path(spark: SparkSession, path: str) -> DataFrame:

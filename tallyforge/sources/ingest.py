@@ -4,17 +4,26 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.operators.columns import sanitize_cols
 from tallyforge.sinks.tables import overwrite_table, qualified
-from tallyforge.sources.files import read_customers, read_orders_json, read_products_csv
+from tallyforge.sources.files import (
+    CORRUPT,
+    file_format,
+    read_customers,
+    read_orders_json,
+    read_products_csv,
+)
 
 log = logging.getLogger(__name__)
 
-MANIFEST = "file string, table_name string, status string, row_count bigint, error string"
+MANIFEST = (
+    "file string, table_name string, status string, row_count bigint, corrupt_rows bigint, error string"
+)
 
 # The text in a path that decides its kind, in order of precedence, and the table.
 ROUTES = {
@@ -32,56 +41,107 @@ def target_table(path: str) -> str:
     raise ValueError(f"unknown kind of file: {path}")
 
 
-def read_source(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_source(
+    spark: SparkSession, path: str, multiline: bool | None = None, options: dict | None = None
+) -> DataFrame:
+    """The rows at ``path`` with sanitized names, and the text of those that do not fit.
+
+    ``options`` holds keyword arguments of the readers by table.
+    """
     table = target_table(path)
+    chosen = (options or {}).get(table, {})
     if table == "bronze_orders":
-        return read_orders_json(spark, path, multiline)
-    if table == "bronze_products":
-        return read_products_csv(spark, path)
-    return read_customers(spark, path)
-
-
-def load_file(
-    path: str, spark: SparkSession, database: str = "default", multiline: bool = True
-) -> dict:
-    """Read, sanitize and write one file. Returns its manifest row, also when it fails.
-
-    ``path`` may also be a folder or a pattern that stands for many files of one kind.
-
-    Rows are counted while they are written, so the source is scanned once. The written table
-    is also registered as the temporary view ``<table>_loaded``; a view with the table's own
-    name would hide the table.
+        file_format(spark, path, "json")
+        rows = read_orders_json(spark, path, multiline, corrupt=True, **chosen)
+    elif table == "bronze_products":
+        file_format(spark, path, "csv")
+        rows = read_products_csv(spark, path, corrupt=True, **chosen)
+    else:
+        rows = read_customers(spark, path, corrupt=True, **chosen)
+    return sanitize_cols(rows)
+
+
+def load_table(spark: SparkSession, table: str, rows: list[DataFrame], database: str) -> list[tuple[int, int]]:
+    """Write the rows of all sources of a table at once. Returns the rows and the corrupt rows
+    of each source, counted while they are written, so every source is scanned once.
+
+    The written table is also registered as the temporary view ``<table>_loaded``; a view with
+    the table's own name would hide the table.
     """
-    name = path.rstrip("/").rsplit("/", 1)[-1]
-    entry = {"file": name, "table_name": None, "status": "error", "row_count": None, "error": None}
-    try:
-        entry["table_name"] = target_table(path)
-        counted = Observation()
-        df = sanitize_cols(read_source(spark, path, multiline))
-        # Nothing shuffles between the counter and the write, so a retried task counts once.
-        df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-        overwrite_table(df, entry["table_name"], database)
-        entry["row_count"] = counted.get["rows"]
-        spark.table(qualified(entry["table_name"], database)).createOrReplaceTempView(
-            f"{entry['table_name']}_loaded"
-        )
-        entry["status"] = "loaded"
-    except Exception as failure:  # one bad file must not stop the others
-        log.error("could not load %s: %s", path, failure)
-        entry["error"] = str(failure)
-    return entry
+    numbered = [df.withColumn("_source", F.lit(i)) for i, df in enumerate(rows)]
+    counts = []
+    for i in range(len(rows)):
+        own = F.col("_source") == i
+        counts.append(F.count_if(own).alias(f"rows_{i}"))
+        counts.append(F.count_if(own & F.col(CORRUPT).isNotNull()).alias(f"corrupt_{i}"))
+    counted = Observation()
+    # Nothing shuffles between the counter and the write, so a retried task counts once.
+    together = reduce(DataFrame.unionByName, numbered).observe(counted, *counts)
+    overwrite_table(together.drop("_source", CORRUPT), table, database)
+    spark.table(qualified(table, database)).createOrReplaceTempView(f"{table}_loaded")
+    return [(counted.get[f"rows_{i}"], counted.get[f"corrupt_{i}"]) for i in range(len(rows))]
+
+
+def ingest_entries(
+    spark: SparkSession,
+    paths: Iterable[str],
+    database: str = "default",
+    multiline: bool | None = None,
+    options: dict | None = None,
+) -> list[dict]:
+    """Load every path and return the manifest rows, one per path.
+
+    A path is a file, a folder or a pattern. All paths of one kind are written together. A path
+    that cannot be read gets an ``error`` row, and the others of its kind are loaded without it.
+    Rows that do not fit the schema are loaded as far as they do, and counted.
+    """
+    entries, sources = [], {}
+    for path in paths:
+        name = path.rstrip("/").rsplit("/", 1)[-1]
+        entry = dict.fromkeys(part.split()[0] for part in MANIFEST.split(", ")) | {"file": name, "status": "error"}
+        entries.append(entry)
+        try:
+            entry["table_name"] = target_table(path)
+            rows = read_source(spark, path, multiline, options)
+            sources.setdefault(entry["table_name"], []).append((entry, rows))
+        except Exception as failure:  # one bad path must not stop the others
+            log.error("could not read %s: %s", path, failure)
+            entry["error"] = str(failure)
+    for table, members in sources.items():
+        try:
+            counts = load_table(spark, table, [rows for _, rows in members], database)
+            for (entry, _), (rows, corrupt) in zip(members, counts):
+                entry |= {"status": "loaded", "row_count": rows, "corrupt_rows": corrupt}
+        except Exception as failure:
+            log.error("could not load %s: %s", table, failure)
+            for entry, _ in members:
+                entry["error"] = str(failure)
+    return entries
 
 
 def ingest(
-    spark: SparkSession, paths: Iterable[str], database: str = "default", multiline: bool = True
+    spark: SparkSession,
+    paths: Iterable[str],
+    database: str = "default",
+    multiline: bool | None = None,
+    options: dict | None = None,
 ) -> DataFrame:
-    """Load every file and return the manifest, one row per file."""
-    entries = [load_file(path, spark, database, multiline) for path in paths]
-    return spark.createDataFrame(entries, MANIFEST)
+    """Load every path and return the manifest; see ``ingest_entries``."""
+    return spark.createDataFrame(ingest_entries(spark, paths, database, multiline, options), MANIFEST)
+
+
+def load_file(
+    path: str,
+    spark: SparkSession,
+    database: str = "default",
+    multiline: bool | None = None,
+    options: dict | None = None,
+) -> dict:
+    """Read, sanitize and write what is at one path. Returns its manifest row, also on failure."""
+    return ingest_entries(spark, [path], database, multiline, options)[0]
 
 
 def row_counts(manifest: DataFrame) -> DataFrame:
-    """Table and rows of every file that was loaded."""
-    return manifest.filter(F.col("status") == "loaded").select(
-        "table_name", F.col("row_count").alias("n")
-    )
+    """Rows of every table that was loaded, over all its sources."""
+    loaded = manifest.filter(F.col("status") == "loaded")
+    return loaded.groupBy("table_name").agg(F.sum("row_count").alias("n"))

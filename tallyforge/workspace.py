@@ -1,12 +1,18 @@
-"""Where intermediate tables go: a folder that every executor sees."""
+"""Where intermediate tables go, how they are removed, and how workers get the package."""
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
+_folders: list[str] = []
+_databases: list[str] = []
+_shipped: set[str] = set()
+
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder name below the one the session gives in ``spark.checkpoint.dir``.
@@ -19,11 +25,37 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
         base = tempfile.mkdtemp(prefix="tallyforge-")
-    return f"{base.rstrip('/')}/tallyforge-{uuid4().hex}"
+    folder = f"{base.rstrip('/')}/tallyforge-{uuid4().hex}"
+    _folders.append(folder)
+    return folder
 
 
 def scratch_database(spark: SparkSession) -> str:
     """Create a database with a fresh name whose tables live in a new shared folder."""
     name = f"tallyforge_{uuid4().hex}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_folder(spark)}'")
+    _databases.append(name)
     return name
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Drop the databases and delete the folders that this process made.
+
+    Frames that queries returned read them, so this is for when the results are no longer used.
+    """
+    while _databases:
+        spark.sql(f"DROP DATABASE IF EXISTS {_databases.pop()} CASCADE")
+    while _folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_folders.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once per application, so that functions which run there
+    find it wherever they were started."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent
+        name = f"{tempfile.mkdtemp(prefix='tallyforge-')}/{package.name}"
+        context.addPyFile(shutil.make_archive(name, "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)

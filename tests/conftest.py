@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import SparkSession
 
+from tallyforge.workspace import clean_up, scratch_database
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -18,13 +20,14 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clean_up(session)
+    left = [row[0] for row in session.sql("SHOW DATABASES").collect()]
     session.stop()
+    assert left == ["default"]
 
 
 @pytest.fixture
 def database(spark):
-    from tallyforge.workspace import scratch_database
-
     return scratch_database(spark)
 
 

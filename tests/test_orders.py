@@ -100,13 +100,38 @@ def test_money_sum_is_exact_and_order_independent(spark):
 
 @pytest.mark.parametrize(
     "values, expected",
-    [([None, None], None), ([1.5, None], 1.5), ([1e300, 1e300], 2e300), ([9e16, 9e16], 1.8e17)],
+    [
+        ([None, None], None),
+        ([1.5, None], 1.5),
+        ([9e16, 9e16], 1.8e17),
+        ([0.004] * 1000, 4.0),
+        ([0.1] * 10, 1.0),
+        ([1e17, 0.01, -1e17], 0.01),
+        ([math.inf, 1.0], math.inf),
+        ([-math.inf, 1.0], -math.inf),
+    ],
 )
 def test_money_sum_edges(spark, values, expected):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     assert df.agg(money_sum(F.col("x"))).first()[0] == expected
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_amounts_out_of_range_raise(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for amount in (1e300, -1e18):
+            with pytest.raises(Exception, match="amount out of range"):
+                spark.createDataFrame([(amount,)], "x double").agg(money_sum(F.col("x"))).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_reports_do_not_round_single_amounts(spark):
+    lines = spark.createDataFrame([(2020, "c", "s", "n", 0.004)] * 1000, ddl(GOLD_PROFIT_AGG))
+    assert [tuple(r) for r in profit_by_year(lines).collect()] == [(2020, 4.0)]
+
+
 def test_money_sum_of_nan(spark):
     df = spark.createDataFrame([(math.nan,), (1.0,)], "x double")
     assert math.isnan(df.agg(money_sum(F.col("x"))).first()[0])
@@ -186,7 +211,7 @@ def test_measured_size_decides_on_the_broadcast(spark):
     dimension = spark.range(1_000).select(F.col("id").cast("string").alias("k"))
     size = row_bytes(dimension)
     assert 1_000 * 24 < size < 1_000 * 100
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "0")
     try:
         assert "BroadcastHashJoin" in executed(join_dimension(fact, dimension, "k", size))
         assert "BroadcastHashJoin" not in executed(join_dimension(fact, dimension, "k", size - 1))

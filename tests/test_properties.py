@@ -42,9 +42,9 @@ def test_names_like_python(spark, names):
 
 @FEW
 @given(st.lists(st.one_of(st.none(), TEXT), min_size=1, max_size=400), st.integers(1, 50))
-def test_keys_like_python(spark, values, rows_per_range):
+def test_keys_like_python(spark, values, partitions):
     df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "k string, i int")
-    got = add_dense_key(df, "pk", ["k"], rows_per_range=rows_per_range).orderBy("pk").collect()
+    got = add_dense_key(df, "pk", ["k"], partitions=partitions).orderBy("pk").collect()
     assert [r.pk for r in got] == list(range(1, len(values) + 1))
     ordered = sorted(values, key=lambda v: (v is not None, (v or "").encode()))
     assert [r.k for r in got] == ordered

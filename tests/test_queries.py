@@ -8,10 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from tallyforge.plans import catalog, oracle
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+QUERIES = catalog.all_queries()
+ORACLES = oracle.all_oracles()
 
 SPARK_TYPE = {
     "VARCHAR": "string",
@@ -37,8 +38,9 @@ def spark_rows(df):
     return Counter(tuple(row) for row in df.select(*names).collect())
 
 
-def test_every_query_has_an_oracle():
+def test_every_query_has_an_oracle_and_is_registered():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= driver.queries().keys() and ORACLES.keys() <= driver.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)

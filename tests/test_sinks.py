@@ -138,19 +138,17 @@ def test_clustering_an_empty_frame(spark, database):
     assert spark.table(f"{database}.t").count() == 0
 
 
-def test_ranges_may_come_from_another_frame(spark):
-    df = spark.range(10_000).select(F.col("id").cast("int").alias("k"))
-    other = spark.range(2_000, 4_000).select(F.col("id").cast("int").alias("k"))
-    placed = cluster_by(df, "k", source=other, partitions=4)
-    spans = placed.groupBy(F.spark_partition_id().alias("p")).agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
-    spans = [(r.lo, r.hi) for r in spans.orderBy("lo").collect()]
-    assert spans[0][0] == 0 and spans[-1][1] == 9_999 and len(spans) == 4
-    assert all(a[1] + 1 == b[0] for a, b in zip(spans, spans[1:]))
+def test_joins_below_a_clustered_write_run_once(spark, database):
+    seen = spark.sparkContext.accumulator(0)
 
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
 
-def test_joins_below_a_clustered_write_run_once(spark):
-    plan = executed(cluster_by(catalog.enriched_orders(spark, SF_DIR), "Row_ID", partitions=4))
-    assert "rangepartitioning" not in plan and "Window" not in plan
+    df = spark.range(0, 5_000, 1, 4).mapInArrow(count, "id bigint")
+    overwrite_clustered(df, "t", "id", database, partitions=5)
+    assert spark.table(f"{database}.t").count() == seen.value == 5_000
 
 
 def test_reused_frame_is_released(spark):
@@ -180,7 +178,7 @@ def source_files(spark, tmp_path_factory):
 
 @pytest.mark.parametrize("strict", [False, True])
 def test_batch(spark, database, source_files, strict):
-    manifest = batch.run_batch(spark, source_files, database, strict=strict, multiline=False)
+    manifest = batch.run_batch(spark, source_files, database, strict=strict)
     assert [r.status for r in manifest.collect()] == ["loaded"] * 3
 
     def table(name):
@@ -192,6 +190,8 @@ def test_batch(spark, database, source_files, strict):
     )
     assert rows(table("silver_customer")) == rows(valid_customers(customers))
     assert table("bad_silver_customer").count() == bad_customers(customers).count() > 0
+    split = [table(name).count() for name, _ in batch.CUSTOMER_TABLES.values()]
+    assert sum(split) == table("bronze_customer").count() and all(split)
     assert rows(table("silver_products")) == rows(catalog.enriched_products(spark, SF_DIR))
     assert dict(table("gold_orders").dtypes) == GOLD_ORDERS
     assert rows(table("gold_orders")) == rows(expected)
@@ -205,9 +205,9 @@ def test_batch(spark, database, source_files, strict):
 
 
 def test_batch_can_run_again_and_in_memory(spark, database, source_files):
-    batch.run_batch(spark, source_files, database, multiline=False, broadcast_limit=None)
+    batch.run_batch(spark, source_files, database, broadcast_limit=None)
     first = rows(spark.table(f"{database}.gold_profit_agg"))
-    batch.run_batch(spark, source_files, database, multiline=False)
+    batch.run_batch(spark, source_files, database)
     assert rows(spark.table(f"{database}.gold_profit_agg")) == first
     batch.build_gold(spark, database, keep_in_memory=True)
     assert rows(spark.table(f"{database}.gold_profit_agg")) == first
@@ -217,7 +217,23 @@ def test_batch_stops_when_a_source_is_bad(spark, database, source_files, tmp_pat
     bad = tmp_path / "Customer.xlsx"
     bad.write_bytes(b"broken")
     with pytest.raises(RuntimeError, match="Customer.xlsx"):
-        batch.run_batch(spark, [str(bad), *source_files[1:]], database, multiline=False)
+        batch.run_batch(spark, [str(bad), *source_files[1:]], database)
+
+
+def test_batch_needs_every_source_of_its_own(spark, database, source_files, tmp_path):
+    batch.run_batch(spark, source_files, database)
+    before = rows(spark.table(f"{database}.gold_orders"))
+    misnamed = tmp_path / "customer_new.csv"
+    misnamed.write_text("x\n")
+    with pytest.raises(RuntimeError, match="no source for .*bronze_customer.*customer_new.csv"):
+        batch.run_batch(spark, [str(misnamed), source_files[1]], database)
+    batch.run_batch(spark, source_files[1:2], database, allow_existing=True)
+    assert rows(spark.table(f"{database}.gold_orders")) == before
+
+
+def test_two_batches_have_views_of_their_own(spark, database, source_files):
+    batch.run_batch(spark, source_files, database, orders_view="first_orders")
+    assert spark.table("global_temp.first_orders").count() == spark.table(f"{database}.gold_orders").count()
 
 
 def test_array_order_file(spark, database, source_files, tmp_path):

@@ -1,19 +1,16 @@
-"""File scans, workbooks and the loader."""
+"""File scans and the loader."""
 
-import io
+import gzip
 import json
-import zipfile
-from xml.sax.saxutils import escape
 
 import pytest
 from pyspark.errors import AnalysisException
 
-from tallyforge.operators.columns import sanitize_cols
+from tallyforge.operators.columns import sanitize_cols, sanitized
 from tallyforge.plans.batch import run_batch
 from tallyforge.schemas import CUSTOMERS, ORDERS_FILE, PRODUCTS
 from tallyforge.sources.files import read_customers, read_orders_json, read_products_csv, read_table_path
 from tallyforge.sources.ingest import ingest, load_file, row_counts, target_table
-from tallyforge.sources.workbooks import sheet_rows
 
 ORDER = {
     "Customer ID": "C1", "Discount": 0.2, "Order Date": "21/8/2016", "Order ID": "O1", "Price": 9.5,
@@ -64,71 +61,82 @@ def test_products_doubled_quotes(spark, tmp_path):
     assert read_products_csv(spark, str(path)).first()[3] != 'Desk, 24" wide'
 
 
-def test_many_files_of_one_kind(spark, tmp_path, database):
-    for i in range(3):
-        (tmp_path / f"Orders_{i}.json").write_text(json.dumps([ORDER | {"Row ID": i}]))
-    entry = load_file(f"{tmp_path}/Orders_*.json", spark, database)
-    assert (entry["status"], entry["row_count"]) == ("loaded", 3)
-
+def test_the_first_order_decides_the_form(spark, tmp_path):
+    lines = "\n".join(json.dumps(ORDER | {"Row ID": i}) for i in range(4))
+    for name, text, n in [
+        ("lines", lines, 4), ("array", f"\n [{lines.replace(chr(10), ',')}]", 4), ("pretty", json.dumps(ORDER, indent=1), 1),
+        ("none", "", 0), ("empty", "[]", 0),
+    ]:
+        (tmp_path / f"{name}.json").write_text(text)
+        assert read_orders_json(spark, str(tmp_path / f"{name}.json")).count() == n, name
 
-# --- workbooks ----------------------------------------------------------------------------
 
-MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
-
-
-def workbook(sheet: str, shared: list[str] | None = None) -> bytes:
-    buffer = io.BytesIO()
-    with zipfile.ZipFile(buffer, "w") as book:
-        book.writestr("xl/worksheets/sheet1.xml", f"<worksheet {MAIN}><sheetData>{sheet}</sheetData></worksheet>")
-        if shared is not None:
-            items = "".join(f"<si>{text}</si>" for text in shared)
-            book.writestr("xl/sharedStrings.xml", f"<sst {MAIN}>{items}</sst>")
-    return buffer.getvalue()
+def test_key_above_int(spark, tmp_path):
+    path = tmp_path / "Orders.json"
+    path.write_text(json.dumps([ORDER | {"Row ID": 2**31 + 5}]))
+    assert read_orders_json(spark, str(path)).first()["Row ID"] == 2**31 + 5
 
 
-def inline_row(values) -> str:
-    cells = "".join(f'<c t="inlineStr"><is><t>{escape(v)}</t></is></c>' if v else "<c/>" for v in values)
-    return f"<row>{cells}</row>"
+def customer_line(i):
+    return f'C{i},"Ann ""A"" Lee",e,555,"1 St, Apt ""B""",s,c,t,st,0012,r'
 
 
-def test_cell_kinds():
-    sheet = (
-        '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="C1"><v>10024</v></c></row>'
-        '<row r="2"><c r="A2" t="b"><v>1</v></c><c r="B2" t="str"><v>f</v></c><c r="C2" t="e"><v>#ERROR!</v></c></row>'
-        '<row r="3"><c r="B3" t="s"><v>1</v></c><c t="inlineStr"><is><t>next</t></is></c><c r="AB3"><v>9</v></c></row>'
-        '<row r="4"/>'
-    )
-    shared = ["<t>plain &amp; simple</t>", "<r><t>ri</t></r><r><t>ch</t></r><rPh><t>no</t></rPh>"]
-    assert list(sheet_rows(workbook(sheet, shared), 3)) == [
-        ["plain & simple", None, "10024"],
-        ["TRUE", "f", "#ERROR!"],
-        [None, "rich", "next"],
-        [None, None, None],
-    ]
+def test_customer_files(spark, tmp_path):
+    header = ",".join(CUSTOMERS)
+    folder = tmp_path / "Customers"
+    folder.mkdir()
+    (folder / "a.csv").write_text(f"{header}\n{customer_line(1)}\n")
+    with gzip.open(folder / "b.csv.gz", "wt") as file:
+        file.write(f"{header}\n{customer_line(2)}\n")
+    (folder / "C.TXT").write_text(f"{header}\n{customer_line(3)}\n")
+    df = read_customers(spark, str(folder))
+    assert dict(df.dtypes) == CUSTOMERS
+    found = {r.Customer_ID: r.Address for r in df.collect()}
+    assert found == dict.fromkeys(("C1", "C2", "C3"), '1 St, Apt "B"')
 
 
-def customer(i):
-    return [f"C{i}", "Ann, \"Lee\" <x>", "e", "-1", "1 St, 2", None, "c", "t", "s", "00123", "r"]
+@pytest.mark.parametrize("name", ["Customer.xlsx", "Customer.XLSX", "Customer.dat", "Customer"])
+def test_unknown_endings_are_errors(spark, tmp_path, database, name):
+    (tmp_path / name).write_text("x")
+    entry = load_file(str(tmp_path / name), spark, database)
+    assert entry["status"] == "error" and "unknown ending" in entry["error"]
 
 
-def test_folder_of_workbooks(spark, tmp_path):
-    folder = tmp_path / "Customer"
-    (folder / "more").mkdir(parents=True)
-    header = inline_row(list(CUSTOMERS))
-    for name, start in [("a.xlsx", 0), ("more/b.xlsx", 12_000)]:
-        rows = "".join(inline_row(customer(i)) for i in range(start, start + 12_000))
-        (folder / name).write_bytes(workbook(header + rows))
-    (folder / "notes.txt").write_text("not a workbook")
-    df = read_customers(spark, str(folder))
-    assert dict(df.dtypes) == CUSTOMERS
-    assert df.select("Customer_ID").distinct().count() == df.count() == 24_000
-    assert list(df.filter("Customer_ID = 'C12000'").first()) == customer(12_000)
+def test_folders_without_files_are_errors(spark, tmp_path, database):
+    (tmp_path / "Customers").mkdir()
+    entry = load_file(str(tmp_path / "Customers"), spark, database)
+    assert entry["status"] == "error" and "no file" in entry["error"]
 
 
-def test_one_workbook(spark, tmp_path):
-    path = tmp_path / "Customer.xlsx"
-    path.write_bytes(workbook(inline_row(list(CUSTOMERS)) + inline_row(customer(1))))
-    assert [list(r) for r in read_customers(spark, str(path)).collect()] == [customer(1)]
+def test_many_files_of_one_kind(spark, tmp_path, database):
+    for i in range(3):
+        (tmp_path / f"Orders_{i}.json").write_text(json.dumps([ORDER | {"Row ID": i}]))
+    (tmp_path / "Orders_3.jsonl").write_text("\n".join(json.dumps(ORDER | {"Row ID": i}) for i in (3, 4)))
+    paths = [f"{tmp_path}/Orders_0.json", f"{tmp_path}/Orders_[12].json", f"{tmp_path}/Orders_3.jsonl"]
+    manifest = ingest(spark, [*paths, f"{tmp_path}/Orders_9.json"], database)
+    found = {r.file: (r.status, r.row_count) for r in manifest.collect()}
+    assert found == {
+        "Orders_0.json": ("loaded", 1), "Orders_[12].json": ("loaded", 2), "Orders_3.jsonl": ("loaded", 2),
+        "Orders_9.json": ("error", None),
+    }
+    assert sorted(r.Row_ID for r in spark.table(f"{database}.bronze_orders").collect()) == [0, 1, 2, 3, 4]
+    assert [tuple(r) for r in row_counts(manifest).collect()] == [("bronze_orders", 5)]
+
+
+def test_rows_that_do_not_fit_are_counted(spark, tmp_path, database):
+    (tmp_path / "Orders.json").write_text("\n".join([json.dumps(ORDER), "{broken", json.dumps(ORDER)]))
+    (tmp_path / "Products.csv").write_text("a,b,c,d\nP1,C,S,N\nP2,C\n")
+    manifest = ingest(spark, [f"{tmp_path}/Orders.json", f"{tmp_path}/Products.csv"], database)
+    found = {r.table_name: (r.row_count, r.corrupt_rows) for r in manifest.collect()}
+    assert found == {"bronze_orders": (3, 1), "bronze_products": (2, 1)}
+    assert spark.table(f"{database}.bronze_orders").columns == [sanitized(c) for c in ORDERS_FILE]
+
+
+def test_reader_options_by_table(spark, tmp_path, database):
+    (tmp_path / "Products.csv").write_text('a,b,c,d\nP1,C1,S1,"Desk, 24"" wide"\n')
+    options = {"bronze_products": {"doubled_quotes": True}}
+    load_file(f"{tmp_path}/Products.csv", spark, database, options=options)
+    assert spark.table(f"{database}.bronze_products").first().Product_Name == 'Desk, 24" wide'
 
 
 # --- loader -------------------------------------------------------------------------------
@@ -146,17 +154,17 @@ def test_routes():
 def test_load_continues_after_a_bad_file(spark, tmp_path, database):
     (tmp_path / "Orders.json").write_text(json.dumps([ORDER, ORDER]))
     (tmp_path / "Products.csv").write_text("a,b,c,d\nP1,C,S,N\n")
-    (tmp_path / "Customer.xlsx").write_bytes(b"not a zip archive")
-    names = ["Customer.xlsx", "Returns.csv", "Orders.json", "Products.csv"]
+    (tmp_path / "Customer.parquet").write_bytes(b"not a table")
+    names = ["Customer.parquet", "Returns.csv", "Orders.json", "Products.csv"]
     manifest = ingest(spark, [str(tmp_path / n) for n in names], database)
     rows = {r.file: r for r in manifest.collect()}
     assert {n: (r.table_name, r.status, r.row_count) for n, r in rows.items()} == {
-        "Customer.xlsx": ("bronze_customer", "error", None),
+        "Customer.parquet": ("bronze_customer", "error", None),
         "Returns.csv": (None, "error", None),
         "Orders.json": ("bronze_orders", "loaded", 2),
         "Products.csv": ("bronze_products", "loaded", 1),
     }
-    assert "unknown kind" in rows["Returns.csv"].error and rows["Customer.xlsx"].error
+    assert "unknown kind" in rows["Returns.csv"].error and rows["Customer.parquet"].error
     assert {tuple(r) for r in row_counts(manifest).collect()} == {("bronze_orders", 2), ("bronze_products", 1)}
     loaded = spark.table(f"{database}.bronze_orders")
     assert loaded.columns == sanitize_cols(spark.createDataFrame([ORDER])).columns
@@ -188,12 +196,11 @@ def test_table_by_path_and_by_name(spark, tmp_path):
         spark.table("no_such_table")
 
 
-def test_batch_from_workbook_array_and_csv(spark, tmp_path, database):
-    """The three kinds of file a shop exports: a workbook, one JSON array and a CSV."""
-    header = inline_row(list(CUSTOMERS))
-    good = customer(1)[:1] + ["Ann-Marie Lee.", "e", "555"] + customer(1)[4:]
-    bad = customer(2)[:1] + ["R0b", "e", "#ERROR!"] + customer(2)[4:]
-    (tmp_path / "Customer.xlsx").write_bytes(workbook(header + inline_row(good) + inline_row(bad)))
+def test_batch_from_csv_and_array(spark, tmp_path, database):
+    """Files as a shop exports them: two CSV files and one JSON array."""
+    good = "C1,Ann-Marie Lee.,e,555,1 St,s,c,t,st,1,r"
+    bad, unknown = "C2,R0b,e,#ERROR!,1 St,s,c,t,st,1,r", "C3,Bob,e,,1 St,s,c,t,st,1,r"
+    (tmp_path / "Customer.csv").write_text("\n".join([",".join(CUSTOMERS), good, bad, unknown]))
     lines = [
         ORDER | {"Customer ID": "C1", "Row ID": 1, "Profit": 1.005},
         ORDER | {"Customer ID": "C1", "Row ID": 2, "Profit": 2.0, "Order Date": "1/1/2017"},
@@ -202,10 +209,10 @@ def test_batch_from_workbook_array_and_csv(spark, tmp_path, database):
     ]
     (tmp_path / "Orders.json").write_text(json.dumps(lines, indent=1))
     (tmp_path / "Products.csv").write_text("Product_ID,Category,Sub_Category,Product_Name\nP1,Tech,Phones,X\n")
-    paths = [str(tmp_path / n) for n in ("Customer.xlsx", "Orders.json", "Products.csv")]
+    paths = [str(tmp_path / n) for n in ("Customer.csv", "Orders.json", "Products.csv")]
     manifest = run_batch(spark, paths, database).collect()
-    assert [(r.table_name, r.row_count) for r in manifest] == [
-        ("bronze_customer", 2), ("bronze_orders", 4), ("bronze_products", 1),
+    assert [(r.table_name, r.row_count, r.corrupt_rows) for r in manifest] == [
+        ("bronze_customer", 3, 0), ("bronze_orders", 4, 0), ("bronze_products", 1, 0),
     ]
     gold = spark.table(f"{database}.gold_orders").orderBy("Row_ID").collect()
     assert [(r.Row_ID, r.Customer_Name, r.Category, r.Profit) for r in gold] == [
@@ -213,5 +220,6 @@ def test_batch_from_workbook_array_and_csv(spark, tmp_path, database):
     ]
     bad_row = spark.table(f"{database}.bad_silver_customer").first()
     assert (bad_row.Customer_ID, bad_row.Customer_Name_Bad, bad_row.Phone_Bad) == ("C2", "0", True)
+    assert spark.table(f"{database}.unclassified_silver_customer").first().Customer_ID == "C3"
     by_year = spark.sql(f"SELECT Year, Profit FROM {database}.gold_profit_agg ORDER BY Year").collect()
     assert [tuple(r) for r in by_year] == [(2016, 1.01), (2017, 2.0)]
