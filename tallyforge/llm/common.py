@@ -37,15 +37,16 @@ def only_kept(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose ``(doc_id, text_key)`` is in ``kept``, with the columns of ``docs``.
 
     Rows that repeat both id and text are one document: one row of them is returned, the one
-    with the smallest hash over all its columns.
+    with the smallest hash over its columns, maps left out.
     """
     # The key is one column of one type on both sides, so the join and what follows share a shuffle.
     key = F.struct("doc_id", F.coalesce("text_key", F.lit(0)).alias("text_key"))
     wanted = kept.select(key.alias("_wanted"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    columns = {c: F.col("`" + c.replace("`", "``") + "`") for c in docs.columns}
+    hashed = [columns[c] for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
     rows = docs.select(
-        F.struct(*columns).alias("_row"),
-        F.xxhash64(*columns).alias("_rank"),
+        F.struct(*columns.values()).alias("_row"),
+        F.xxhash64(*hashed).alias("_rank"),
         F.struct("doc_id", text_key(F.col("text")).alias("text_key")).alias("_key"),
     )
     joined = rows.join(wanted, F.col("_key") == F.col("_wanted"), "left_semi")
@@ -107,7 +108,9 @@ def in_blocks(
     sample = rows.filter(counted(spread)) if sample is None else sample
     rows = rows.withColumn("_spread", spread)
     big = sample.groupBy(*key).agg(F.ceil(F.count("*") * COUNTED / limit).cast("int").alias("_n"))
-    joined = rows.join(big.filter("_n > 1"), key, "left")
+    # Written, the few large groups have a known size: while that is small the rows are not
+    # shuffled to meet them, and beyond it a large group's partition can be split.
+    joined = rows.join(stored(big.filter("_n > 1")), key, "left")
     block = F.pmod(F.col("_spread"), F.coalesce("_n", F.lit(1))).cast("int")
     joined = joined.withColumn("_block", block)
     partners = F.sequence(F.lit(0), F.coalesce("_n", F.lit(1)) - 1)

@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.llm.common import stored
+
 REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 8_000_000
 RECORDS_AT_ONCE = 500
@@ -73,7 +75,7 @@ def with_record_types(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame
     long = rows.filter(F.octet_length("payload") >= least)
     # Only payloads that occur more than once take part in the join that follows.
     groups = long.groupBy("digest").agg(F.max("page_id").alias("keep"), F.count("*").alias("n"))
-    groups = groups.filter("n > 1").select(F.col("digest").alias("_digest"), "keep")
+    groups = stored(groups.filter("n > 1").select(F.col("digest").alias("_digest"), "keep"))
     joined = rows.join(groups, F.col("digest") == F.col("_digest"), "left")
     revisit = F.col("_digest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keep"))
     return joined.select(

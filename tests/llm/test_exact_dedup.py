@@ -53,6 +53,13 @@ def test_stage_keeps_columns_and_one_row_of_each(spark):
     assert sorted(texts) == sorted({t or "" for _, t in special_rows()})
 
 
+def test_stage_with_columns_that_cannot_be_compared(spark):
+    docs = documents(spark, [(1, "a"), (2, "a"), (2, "a")])
+    odd = docs.selectExpr("*", "map('k', doc_id) AS more", "1 AS `odd ``name.x`")
+    kept = drop_exact_duplicates(odd).collect()
+    assert [(r.doc_id, r.more) for r in kept] == [(2, {"k": 2})]
+
+
 def test_runs_in_the_jvm(spark):
     plan = exact_duplicates(documents(spark, special_rows()))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
