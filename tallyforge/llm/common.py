@@ -70,7 +70,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     seen = state(now)
     while seen[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lows = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
+        # Written, so that the join reads both sides from a shuffle and a hub's edges can be split.
+        lows = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low")))
         large = both.filter("v > u").join(lows, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
         large = large.distinct()
         lows = large.groupBy("u").agg(F.min("v").alias("low"))

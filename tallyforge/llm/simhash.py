@@ -258,7 +258,7 @@ def near_duplicates(
     )
     named = F.min(F.when(F.col("low.doc_id").isNotNull(), F.col("low")))
     lows = parts.join(distinct, "fp").groupBy("component")
-    lows = lows.agg(F.coalesce(named, F.min("low")).alias("lowest"))
+    lows = stored(lows.agg(F.coalesce(named, F.min("low")).alias("lowest")))
     moved = parts.join(lows, "component").select("fp", "lowest")
     labels = stored(
         distinct.join(moved, "fp", "left").select("fp", F.coalesce("lowest", "low").alias("lowest"))
