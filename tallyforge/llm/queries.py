@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyforge.llm import chat, warc
 from tallyforge.llm.embeddings import near_vectors
 from tallyforge.llm.exact_dedup import exact_duplicates
-from tallyforge.llm.lines import line_counts, line_decisions
+from tallyforge.llm.lines import line_counts, wide_decisions
 from tallyforge.llm.lm_scoring import lm_scores
 from tallyforge.llm.packing import pack
 from tallyforge.llm.pieces import encode
@@ -69,7 +69,7 @@ def op8_sentencepiece_n_best(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_counts(line_decisions(_table(spark, sf_dir, "documents")))
+    found = line_counts(wide_decisions(_table(spark, sf_dir, "documents")))
     return found.select("doc_id", "n_lines", "n_kept", "dropped_lines")
 
 

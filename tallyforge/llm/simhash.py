@@ -216,8 +216,13 @@ def links(
         ]
     )
     rows = prints.select("fp", F.explode(tables).alias("t")).select("t.*", "fp")
-    blocks = in_blocks(rows, ["bucket", "bits"], F.xxhash64("fp"), block_rows)
-    keys = ["bucket", "bits", "_i", "_j"]
+    return bucket_links(rows, ["bucket", "bits"], max_bits, block_rows)
+
+
+def bucket_links(rows: DataFrame, bucket: list[str], max_bits: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Links ``a``, ``b`` that join the fingerprints ``fp`` within reach in each ``bucket``."""
+    blocks = in_blocks(rows, bucket, F.xxhash64("fp"), block_rows)
+    keys = [*bucket, "_i", "_j"]
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped(source, keys, SLAB_ROWS):
@@ -225,7 +230,7 @@ def links(
             change = reduce(np.logical_or, [c[1:] != c[:-1] for c in columns])
             same = np.concatenate(([0], np.cumsum(change)))
             fp = table["fp"].to_numpy()
-            block, two = table["_block"].to_numpy(), columns[2] != columns[3]
+            block, two = table["_block"].to_numpy(), columns[-2] != columns[-1]
             rows, roots = spanning_links(fp.view(np.uint64), same, block, two, max_bits)
             yield pa.record_batch([pa.array(fp[rows]), pa.array(fp[roots])], names=["a", "b"])
 
