@@ -36,7 +36,7 @@ def keep_dissimilar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and the sequences they are packed into."""
-    return pack(docs)
+    return pack(docs, joint=True)
 
 
 STAGES = [

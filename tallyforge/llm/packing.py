@@ -3,8 +3,10 @@
 A document's length is its number of tokens. A document longer than the longest capacity is cut
 into full pieces and a rest, so nothing is lost. Pieces are packed in order of falling length,
 each into the open bin it fills best. Where none has room a bin is opened, of the capacity that
-costs least per token it can hold. At the end every bin shrinks to the smallest capacity that
-holds its contents.
+costs least per token it can hold or, if the plan is ``joint``, per token it would be given: each
+capacity is filled on trial from the shorter pieces that no bin opened before counts on. At the
+end every bin shrinks to the smallest capacity that holds its contents. As later pieces need not
+go where a trial put them, ``pack`` with ``joint`` makes both plans and takes the cheaper one.
 
 Pieces of one length are interchangeable, and so are bins with one history. The decisions are
 therefore made on the histogram of lengths, which has at most as many rows as the longest
@@ -22,7 +24,7 @@ An empty table gives an empty result. Other columns are ignored, whatever their
 from __future__ import annotations
 
 import math
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
@@ -73,11 +75,31 @@ def sequence_cost(capacity: int) -> float:
     return FIXED_COST + capacity + SQUARE_COST * capacity * capacity
 
 
+def on_trial(free: np.ndarray, length: int, left: int, size: int) -> tuple[int, list[tuple[int, int]]]:
+    """Tokens in each of the bins of ``size`` that ``left`` pieces of ``length`` open at once, and
+    how many of which shorter ``free`` pieces fill them all alike, the longest first."""
+    each = min(left, size // length)
+    bins = left // each
+    room = size - each * length
+    lengths = np.flatnonzero(free[: min(length, room + 1)] >= bins).tolist()
+    taken = []
+    upto = len(lengths)
+    while upto := bisect_right(lengths, room, hi=upto):
+        upto -= 1
+        shorter = lengths[upto]
+        each = min(room // shorter, int(free[shorter]) // bins)
+        taken.append((shorter, each * bins))
+        room -= each * shorter
+    return size - room, taken
+
+
 def plan(
-    counts: dict[int, int], capacities: Sequence[int], cost: Callable[[int], float]
+    counts: dict[int, int], capacities: Sequence[int], cost: Callable[[int], float], joint: bool = False
 ) -> tuple[list[Span], list[Bins]]:
     """Where every rank of every length goes, and the closed bins, from the histogram alone."""
     sizes = sorted(capacities)
+    free = np.zeros(max(counts, default=0) + 1, dtype=np.int64)
+    free[list(counts)] = list(counts.values())
     spans: list[Span] = []
     # Open bins by (room, number), so that the best fit is the first one with enough room.
     open_: list[tuple[int, int, Bins]] = []
@@ -100,6 +122,11 @@ def plan(
             if at < len(open_):
                 group = open_.pop(at)[2]
             else:
+                if joint:
+                    trials = {c: on_trial(free, length, left, c) for c in fitting}
+                    size = min(fitting, key=lambda c: (cost(c) / trials[c][0], c))
+                    for shorter, taken in trials[size][1]:
+                        free[shorter] -= taken
                 # All bins the rest can open at once, each to hold as many as fit one.
                 each = size // length
                 full = left // each
@@ -126,6 +153,14 @@ def shrunk(group: Bins, sizes: Sequence[int]) -> int:
     return min(c for c in sizes if c >= group.used)
 
 
+def cheaper_plan(
+    counts: dict[int, int], capacities: Sequence[int], cost: Callable[[int], float]
+) -> tuple[list[Span], list[Bins]]:
+    """Of the joint plan and the other, the one whose bins cost less once they have shrunk."""
+    plans = [plan(counts, capacities, cost, joint) for joint in (True, False)]
+    return min(plans, key=lambda found: sum(g.bins * cost(shrunk(g, capacities)) for g in found[1]))
+
+
 def pieces_of(docs: DataFrame, length: Callable[[Column], Column], longest: int) -> DataFrame:
     """``doc_id``, ``copy``, ``piece``, ``start`` and ``length`` in tokens, one row per piece."""
     sized = texts_of(docs).select("doc_id", F.xxhash64("text").alias("mark"), length(F.col("text")).alias("size"))
@@ -171,6 +206,7 @@ def pack(
     length: Callable[[Column], Column] = byte_tokens,
     cost: Callable[[int], float] = sequence_cost,
     share_rows: int = SHARE_ROWS,
+    joint: bool = False,
 ) -> DataFrame:
     """One row per piece: ``doc_id``, ``copy``, ``piece``, its ``start`` and ``length`` within
     the document, and ``bin_id``, ``bin_offset``, ``bin_capacity``, ``bin_used``."""
@@ -178,7 +214,7 @@ def pack(
     pieces = stored(pieces_of(docs, length, longest))
     # At most `longest` rows: a length is between 1 and the longest capacity.
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    spans, groups = plan(counts, capacities, cost)
+    spans, groups = (cheaper_plan if joint else plan)(counts, capacities, cost)
     by_bin = sorted((g.bin, g.used, shrunk(g, capacities)) for g in groups)
     table = np.array(sorted(spans), dtype=np.int64).reshape(-1, 5)
     bins = np.array(by_bin, dtype=np.int64).reshape(-1, 3)

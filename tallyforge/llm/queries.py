@@ -45,7 +45,7 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(_table(spark, sf_dir, "documents"))
+    return pack(_table(spark, sf_dir, "documents"), joint=True)
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
