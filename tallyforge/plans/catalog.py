@@ -181,6 +181,16 @@ def _write_arrays(df: DataFrame, path: str) -> None:
     arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
 
 
+def _deliver(spark: SparkSession, source: str, target: str) -> None:
+    """Move the files Spark's text writer made to another folder, as ``.json`` files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(path(source)):
+        name = status.getPath().getName()
+        if name.endswith(".txt") and not files.rename(status.getPath(), path(f"{target}/a-{name[:-4]}.json")):
+            raise OSError(f"could not move {name} to {target}")
+
+
 def source_files(spark: SparkSession, sf_dir: str) -> str:
     """A folder with the three sources, as a shop would deliver them."""
     folder = shared_folder(spark)
@@ -245,9 +255,12 @@ def ingest_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, database = shared_folder(spark), scratch_database(spark)
     lines = order_lines(spark, sf_dir)
     third = F.pmod(F.col("`Row ID`"), F.lit(3))
-    paths = [f"{folder}/Orders_{i}.json" for i in range(3)]
+    paths = [f"{folder}/Orders_{i}.json" for i in range(2)]
     for i, path in enumerate(paths):
         lines.filter(third == i).write.json(path)
+    # The second folder has files of both forms, those with arrays first.
+    _write_arrays(lines.filter(third == 2), f"{folder}/arrays")
+    _deliver(spark, f"{folder}/arrays", paths[1])
     ingest(spark, paths, database)
     return spark.table(qualified("bronze_orders", database))
 

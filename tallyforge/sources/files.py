@@ -33,14 +33,38 @@ def file_format(spark: SparkSession, path: str, *accepted: str) -> str:
     return found.pop()
 
 
-def holds_arrays(spark: SparkSession, path: str) -> bool:
-    """Whether an order file is one JSON value over several lines, rather than one on each line.
+def array_files(spark: SparkSession, path: str) -> tuple[list[str], bool]:
+    """The files at ``path`` that are one JSON value over several lines, and whether others, with
+    a value on each line, are there too. A file that begins with neither ``[`` nor ``{`` raises.
 
-    Only what stands before the first order, and the beginning of that, is looked at.
+    Each file is told by its first line that is not blank. One scan finds these, and the driver
+    gets a row for each file.
     """
-    start = spark.read.option("lineSep", "{").option("recursiveFileLookup", "true").text(path).take(2)
-    before = start[0][0].lstrip("﻿ \t\r\n") if start else ""
-    return before.startswith("[") or len(start) > 1 and start[1][0].lstrip(" \t\r").startswith("\n")
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    text = F.trim("value", F.lit("\ufeff \t\r\x0b\x0c"))
+    # Ids rise within the part of a file that one task reads, and its beginning is in one part.
+    starts = lines.filter((F.col("_metadata.file_block_start") == 0) & (text != "")).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.left(text, F.lit(1)).alias("head"), F.right(text, F.lit(1)).alias("tail")).alias("ends"),
+        F.regexp_replace(F.left(text, F.lit(64)), r"\s", "").alias("start"),
+        F.monotonically_increasing_id().alias("id"),
+    )
+    first = starts.groupBy("file").agg(
+        F.min_by("ends", "id").alias("ends"), F.min_by("start", "id").alias("start"), F.count("*").alias("lines")
+    )
+    arrays, others, wrong = [], False, []
+    for row in first.collect():
+        if row.ends.head == "[" and not (row.ends.tail == "]" and row.lines > 1):
+            arrays.append(row.file)
+        elif row.start == "{":
+            arrays.append(row.file)
+        elif row.ends.head in ("[", "{"):
+            others = True
+        else:
+            wrong.append(row.file)
+    if wrong:
+        raise ValueError(f"neither an array of orders nor JSON Lines: {sorted(wrong)[:10]}")
+    return arrays, others
 
 
 def read_orders_json(
@@ -49,12 +73,19 @@ def read_orders_json(
     """Orders from JSON. Fields match by exact name; a value of another type becomes NULL.
 
     ``multiline`` reads files that hold one array of orders, each in a single task: supply many
-    such files, or JSON Lines, which Spark splits. By default the first file decides.
+    such files, or JSON Lines, which Spark splits. By default each file is read in its own form.
     ``corrupt`` adds a column with the text of orders that do not fit the schema.
     """
+    arrays: list[str] = []
     if multiline is None:
-        multiline = holds_arrays(spark, path)
-    return _reader(spark, ORDERS_FILE, corrupt).json(path, multiLine=multiline)
+        arrays, others = array_files(spark, path)
+        multiline = bool(arrays) and not others
+    if multiline or not arrays:
+        return _reader(spark, ORDERS_FILE, corrupt).json(path, multiLine=multiline)
+    whole = F.col("_metadata.file_path").isin(arrays)
+    forms = [(True, whole), (False, ~whole)]
+    parts = [_reader(spark, ORDERS_FILE, corrupt).json(path, multiLine=m).filter(own) for m, own in forms]
+    return parts[0].unionByName(parts[1])
 
 
 def read_products_csv(

@@ -223,3 +223,28 @@ def test_batch_from_csv_and_array(spark, tmp_path, database):
     assert spark.table(f"{database}.unclassified_silver_customer").first().Customer_ID == "C3"
     by_year = spark.sql(f"SELECT Year, Profit FROM {database}.gold_profit_agg ORDER BY Year").collect()
     assert [tuple(r) for r in by_year] == [(2016, 1.01), (2017, 2.0)]
+
+
+def test_both_forms_of_orders_in_one_folder(spark, tmp_path, database):
+    folder = tmp_path / "Orders of {May}"
+    folder.mkdir()
+    orders = [ORDER | {"Row ID": i} for i in range(10)]
+    (folder / "a.json").write_text("\ufeff\n " + json.dumps(orders[:3], indent=1))
+    (folder / "b.json").write_text("\n".join(map(json.dumps, orders[3:7])))
+    (folder / "c.json").write_text(json.dumps(orders[7:9]))
+    (folder / "d.json").write_text("")
+    (folder / "e.json").write_text(json.dumps(orders[9], indent=1))
+    # A pattern, as braces of a path would be one.
+    path = str(tmp_path / "Orders of *")
+    assert sorted(r["Row ID"] for r in read_orders_json(spark, path).collect()) == list(range(10))
+    entry = load_file(path, spark, database)
+    assert (entry["status"], entry["row_count"], entry["corrupt_rows"]) == ("loaded", 10, 0)
+
+
+def test_orders_of_neither_form_raise(spark, tmp_path, database):
+    folder = tmp_path / "Orders"
+    folder.mkdir()
+    (folder / "a.json").write_text(json.dumps(ORDER))
+    (folder / "b.json").write_text("Row ID;Price\n1;2\n")
+    entry = load_file(str(folder), spark, database)
+    assert entry["status"] == "error" and "b.json" in entry["error"]
