@@ -45,6 +45,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 TRAILER = b"\r\n\r\n"
 GZIP_MAGIC = b"\x1f\x8b\x08"
 REQUIRED = {"warc-type", "warc-record-id", "warc-date", "content-length"}
+#: The one field that a record may have more than once; its values are a list.
+REPEATED = "warc-concurrent-to"
 RECORD_ID = "<urn:x-page:{}>"
 
 RECORDS = (
@@ -59,7 +61,7 @@ class Found(NamedTuple):
 
     offset: int
     size: int
-    headers: dict[str, str]
+    headers: dict[str, str | list[str]]
     block: bytes
     reason: str = ""
 
@@ -153,14 +155,17 @@ def parse(data: bytes, at: int) -> tuple[Found | None, str]:
     end = data.find(TRAILER, at)
     if end < 0:
         return None, "unfinished header"
-    headers: dict[str, str] = {}
+    headers: dict[str, str | list[str]] = {}
     for line in data[at:end].split(b"\r\n")[1:]:
         name, colon, value = line.decode("utf-8", "replace").partition(":")
         name = name.strip().lower()
         # Two headers run into one where bytes between records are missing: fields come twice.
-        if not colon or name in headers or "\r" in value or "\n" in value:
+        if not colon or name in headers and name != REPEATED or "\r" in value or "\n" in value:
             return None, "malformed header"
-        headers[name] = value.strip()
+        if name == REPEATED:
+            headers.setdefault(name, []).append(value.strip())
+        else:
+            headers[name] = value.strip()
     if not REQUIRED.issubset(headers):
         return None, "incomplete header"
     if not re.fullmatch("[0-9]{1,18}", headers["content-length"]):

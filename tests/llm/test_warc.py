@@ -114,3 +114,13 @@ def test_whole_file_compression_and_gaps_in_a_table(spark, tmp_path):
     assert len([r for r in rows if r.status == "record"]) == 12 + 11
     gap = [r for r in rows if r.status == "quarantined"]
     assert [(g.offset, g.bytes, g.reason) for g in gap] == [(starts[2], starts[3] - starts[2], "no version line")]
+
+
+def test_concurrent_records_may_be_many():
+    head = b"WARC/1.1\r\nWARC-Type: metadata\r\nWARC-Record-ID: <urn:x:1>\r\nWARC-Date: 2020-01-01T00:00:00Z\r\n"
+    ends = b"Content-Length: 2\r\n\r\nab\r\n\r\n"
+    both = b"WARC-Concurrent-To: <urn:x:2>\r\nWARC-Concurrent-To: <urn:x:3>\r\n"
+    (found,) = warc.records_of(head + both + ends)
+    assert not found.reason and found.headers["warc-concurrent-to"] == ["<urn:x:2>", "<urn:x:3>"]
+    (found,) = warc.records_of(head + b"WARC-Type: metadata\r\n" + ends)
+    assert found.reason == "malformed header"
