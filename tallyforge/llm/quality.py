@@ -61,18 +61,20 @@ def learning_labels(labels: DataFrame) -> DataFrame:
 
 
 def learning_rows(docs: DataFrame, known: DataFrame, sample: int) -> DataFrame:
-    """``quality``, ``half`` and ``text`` of at most ``sample`` labelled ids of each label."""
+    """``quality``, ``half`` and ``text`` of at most ``sample`` labelled ids of each label; an id
+    may have many texts."""
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     few = [known.filter(F.col("quality") == q).orderBy(*order).limit(sample) for q in (0, 1)]
     half = F.xxhash64("doc_id", F.lit(1)) % 2 == 0
     # At most 2 * sample ids are sent to every task.
     rows = texts_of(docs).join(F.broadcast(few[0].unionByName(few[1])), "doc_id")
     place = F.xxhash64("doc_id", "text").alias("place")
-    return rows.select(place, "quality", half.alias("half"), "text").distinct()
+    return rows.select(order[0].alias("rank"), place, "quality", half.alias("half"), "text").distinct()
 
 
-def collect_texts(rows: DataFrame, most_bytes: int) -> dict[tuple[int, bool], list[bytes]]:
-    """Texts by label and half, in order of hash, up to a quarter of ``most_bytes`` for each.
+def collect_texts(rows: DataFrame, most_bytes: int, most_rows: int) -> dict[tuple[int, bool], list[bytes]]:
+    """Texts by label and half, in order of hash, up to a quarter of ``most_bytes`` for each, of at
+    most ``most_rows`` rows of each label.
 
     A text that would pass the bound is left out whole; none is cut.
     """
@@ -80,7 +82,9 @@ def collect_texts(rows: DataFrame, most_bytes: int) -> dict[tuple[int, bool], li
     sizes = dict.fromkeys([(q, h) for q in (0, 1) for h in (True, False)], 0)
     found: dict[tuple[int, bool], list[bytes]] = {k: [] for k in sizes}
     wanted = []
-    measured = rows.select("place", "quality", "half", F.octet_length("text").alias("size"))
+    sized = rows.select("rank", "place", "quality", "half", F.octet_length("text").alias("size"))
+    few = [sized.filter(F.col("quality") == q).orderBy("rank", "place").limit(most_rows) for q in (0, 1)]
+    measured = few[0].unionByName(few[1]).drop("rank")
     for place, quality, half, size in sorted(measured.collect()):
         if sizes[quality, half] + size <= most_bytes // 4:
             sizes[quality, half] += size
@@ -142,7 +146,7 @@ def fit(
     known = learning_labels(labels)
     counts = {row["quality"]: row["n"] for row in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     share = (counts.get(1, 0) + 1) / (counts.get(0, 0) + counts.get(1, 0) + 2)
-    texts = collect_texts(learning_rows(docs, known, sample), most_bytes)
+    texts = collect_texts(learning_rows(docs, known, sample), most_bytes, sample)
     good, bad = (dictionary(texts[q, True]) for q in (1, 0))
     if not (good and bad and texts[0, False] and texts[1, False]):
         return Model(b"", b"", [0.0], [share])

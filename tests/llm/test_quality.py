@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 from llm_rows import documents, prose, special_rows
 
-from tallyforge.llm.quality import fit, quality_scores, rising_curve
+from tallyforge.llm.quality import collect_texts, fit, learning_rows, quality_scores, rising_curve
 
 
 def labelled(spark, n=400):
@@ -54,3 +54,11 @@ def test_special_rows(spark):
     assert {r.score for r in none} == {0.5}
     good_only = quality_scores(docs, labels.filter("quality = 1")).collect()
     assert len({r.score for r in good_only}) == 1 and good_only[0].score > 0.9
+
+
+def test_an_id_with_many_texts_gives_few_rows(spark):
+    rows = [(1, prose(i, 20)) for i in range(50)] + [(2 + i, prose(100 + i, 20)) for i in range(5)]
+    known = spark.createDataFrame([(i, int(i < 4)) for i in range(1, 7)], "doc_id bigint, quality int")
+    found = collect_texts(learning_rows(documents(spark, rows), known, 10), 10**6, 10)
+    assert sum(len(t) for (quality, _), t in found.items() if quality == 1) == 10
+    assert sum(len(t) for (quality, _), t in found.items() if quality == 0) == 3
