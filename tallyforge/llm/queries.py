@@ -12,6 +12,7 @@ from tallyforge.llm.embeddings import near_vectors
 from tallyforge.llm.exact_dedup import exact_duplicates
 from tallyforge.llm.lines import line_counts, wide_decisions
 from tallyforge.llm.lm_scoring import lm_scores
+from tallyforge.llm.main_text import extract
 from tallyforge.llm.packing import pack
 from tallyforge.llm.pieces import encode
 from tallyforge.llm.quality import quality_scores
@@ -79,6 +80,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(warc.read_archives(spark, path))
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_lm_scoring": op1_lm_scoring,
@@ -91,4 +96,5 @@ def all_queries() -> dict[str, Query]:
         "op8_sentencepiece_n_best": op8_sentencepiece_n_best,
         "op9_line_dedup": op9_line_dedup,
         "op10_warc": op10_warc,
+        "op13_html_extraction": op13_html_extraction,
     }
