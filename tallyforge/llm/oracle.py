@@ -112,6 +112,52 @@ SELECT page_id,
 FROM typed
 """
 
+FILTER_AUDIT = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
+), low AS (
+    SELECT text, min(doc_id) AS low FROM docs GROUP BY text
+), words AS (
+    SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM docs
+), marks AS (
+    SELECT docs.doc_id, docs.part,
+           len(words) < 200 AS a,
+           100 * len(list_distinct(words)) < 50 * len(words) AS b,
+           100 * length(regexp_replace(docs.text, '[^A-Z]', '', 'g')) > 2 * length(docs.text) AS c,
+           regexp_matches(docs.text, '[#$%&*|]') AS d,
+           coalesce(docs.doc_id > low.low, false) AS e
+    FROM docs JOIN words USING (r) JOIN low ON low.text = docs.text
+), known AS (
+    SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+    FROM labels GROUP BY doc_id
+), cells AS (
+    SELECT part, a::INT * 1 + b::INT * 2 + c::INT * 4 + d::INT * 8 + e::INT * 16 AS mask, count(*) AS n,
+           sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+    FROM marks LEFT JOIN known USING (doc_id)
+    GROUP BY ALL
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter
+), orders AS (
+    SELECT v.letter || w.letter || x.letter || y.letter || z.letter AS filter_order
+    FROM letters v, letters w, letters x, letters y, letters z
+    WHERE len(list_distinct([v.letter, w.letter, x.letter, y.letter, z.letter])) = 5
+), steps AS (
+    SELECT filter_order, step::INT AS step, 1 << (ascii(filter_order[step]) - 65) AS bit,
+           coalesce(list_sum([1 << (ascii(l) - 65) FOR l IN string_split(filter_order[1:step - 1], '') IF l <> '']), 0)::INT AS before
+    FROM orders, unnest([1, 2, 3, 4, 5]) AS s(step)
+)
+SELECT part, filter_order, step,
+       sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+       sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+       sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+       sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+       sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+       sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost,
+       sum(CASE WHEN mask & bit <> 0 THEN n * (120 // bit_count(mask)) ELSE 0 END)::BIGINT AS shapley
+FROM cells, steps
+GROUP BY part, filter_order, step
+"""
+
 
 def all_oracles() -> dict[str, str]:
     return {
@@ -120,4 +166,5 @@ def all_oracles() -> dict[str, str]:
         "op4_exact_dedup": EXACT_DEDUP,
         "op7_chat_formatting": CHAT,
         "op10_warc": WARC,
+        "op12_filter_audit": FILTER_AUDIT,
     }

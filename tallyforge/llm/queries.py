@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyforge.llm import chat, warc
 from tallyforge.llm.embeddings import near_vectors
 from tallyforge.llm.exact_dedup import exact_duplicates
+from tallyforge.llm.filter_audit import audit
 from tallyforge.llm.lines import line_counts, wide_decisions
 from tallyforge.llm.lm_scoring import lm_scores
 from tallyforge.llm.main_text import extract
@@ -80,6 +81,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(warc.read_archives(spark, path))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
@@ -96,5 +101,6 @@ def all_queries() -> dict[str, Query]:
         "op8_sentencepiece_n_best": op8_sentencepiece_n_best,
         "op9_line_dedup": op9_line_dedup,
         "op10_warc": op10_warc,
+        "op12_filter_audit": op12_filter_audit,
         "op13_html_extraction": op13_html_extraction,
     }
