@@ -50,6 +50,8 @@ PIECE_BYTES = 1 << 24
 
 #: Text bytes after which a trie is given up for a new one, and those that may share a prefix.
 TRIE_BYTES = 1 << 24
+#: Text bytes of a prefix that are never worth a longer one.
+LEAST_SHARE = 1 << 16
 #: Rows of one trie before it is given up, however few texts they have; rows of a batch that is sent on.
 ROWS_HELD = 1 << 18
 ROWS_AT_ONCE = 4096
@@ -290,7 +292,10 @@ def smallest_ids(groups: DataFrame, trie_bytes: int = TRIE_BYTES) -> DataFrame:
             yield from lows()
 
     texts = groups.filter(F.col("text").isNotNull()).select("name", "low", "text", "head", "size")
-    rows = with_prefix(texts, trie_bytes).select("name", "low", "text", "prefix")
+    # No prefix is to have more than a task's share, or ranges could not be even.
+    partitions = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = (texts.agg(F.sum("size")).first()[0] or 0) // partitions
+    rows = with_prefix(texts, min(trie_bytes, max(share, LEAST_SHARE))).select("name", "low", "text", "prefix")
     ranged = rows.repartitionByRange("prefix").sortWithinPartitions("prefix")
     return ranged.mapInArrow(batches, f"name bigint, low {dict(groups.dtypes)['low']}")
 

@@ -146,7 +146,8 @@ def test_very_long_text_in_pieces(monkeypatch):
 
 
 @pytest.mark.parametrize("trie_bytes", [1 << 24, 600, 1])
-def test_equals_brute_force(spark, trie_bytes):
+def test_equals_brute_force(spark, monkeypatch, trie_bytes):
+    monkeypatch.setattr(fa, "LEAST_SHARE", trie_bytes)
     rows = many_rows()
     docs = frame(spark, rows).repartition(5)
     found = Counter((r.part, r.doc_id, r.mask) for r in fa.document_masks(docs, trie_bytes).collect())
