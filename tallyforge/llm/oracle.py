@@ -112,6 +112,47 @@ SELECT page_id,
 FROM typed
 """
 
+RANKED_SEARCH = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), asked AS (
+    SELECT item, item_id, term, count(*) AS times
+    FROM (
+        SELECT row_number() OVER () AS item, item_id,
+               unnest(regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark
+    )
+    GROUP BY ALL
+), corpus AS (
+    SELECT count(*)::BIGINT AS n, sum(len(terms))::BIGINT AS l FROM docs WHERE len(terms) > 0
+), postings AS (
+    SELECT r, doc_id, n, term, count(*)::BIGINT AS tf
+    FROM (SELECT r, doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM docs)
+    WHERE term IN (SELECT term FROM asked)
+    GROUP BY ALL
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * corpus.n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM postings, corpus
+    GROUP BY term, corpus.n
+), scored AS (
+    SELECT item, item_id, r, doc_id,
+           sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * p.n * corpus.n) // corpus.l))))::BIGINT AS score
+    FROM asked JOIN postings p USING (term) JOIN weights USING (term), corpus
+    GROUP BY item, item_id, r, doc_id
+), ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+    FROM scored
+    WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 FILTER_AUDIT = r"""
 WITH docs AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
@@ -166,5 +207,6 @@ def all_oracles() -> dict[str, str]:
         "op4_exact_dedup": EXACT_DEDUP,
         "op7_chat_formatting": CHAT,
         "op10_warc": WARC,
+        "op11_ranked_search": RANKED_SEARCH,
         "op12_filter_audit": FILTER_AUDIT,
     }

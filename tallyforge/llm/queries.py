@@ -17,6 +17,7 @@ from tallyforge.llm.main_text import extract
 from tallyforge.llm.packing import pack
 from tallyforge.llm.pieces import encode
 from tallyforge.llm.quality import quality_scores
+from tallyforge.llm.search import ranked
 from tallyforge.llm.simhash import near_duplicates
 from tallyforge.workspace import shared_folder
 
@@ -81,6 +82,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(warc.read_archives(spark, path))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -101,6 +107,7 @@ def all_queries() -> dict[str, Query]:
         "op8_sentencepiece_n_best": op8_sentencepiece_n_best,
         "op9_line_dedup": op9_line_dedup,
         "op10_warc": op10_warc,
+        "op11_ranked_search": op11_ranked_search,
         "op12_filter_audit": op12_filter_audit,
         "op13_html_extraction": op13_html_extraction,
     }
