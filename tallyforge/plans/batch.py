@@ -13,7 +13,6 @@ from tallyforge.operators.products import enrich_product_data
 from tallyforge.operators.profit import profit_agg
 from tallyforge.schemas import ENRICHED_CUSTOMER, SILVER_CUSTOMER
 from tallyforge.sinks.tables import (
-    drop_table,
     overwrite_by_status,
     overwrite_clustered,
     overwrite_partitioned,
@@ -70,16 +69,16 @@ def build_silver(
     """Write the checked customers by status, a table for each status, and keyed products.
 
     A customer with an unknown name or phone may be neither valid nor bad; it is kept as
-    ``unclassified``, so the three tables hold every customer once.
+    ``unclassified``, so the three tables hold every customer once. Every table is replaced at
+    once, with the columns of this run; one whose build fails keeps its content.
     """
     bronze = spark.table(qualified("bronze_customer", database))
-    drop_table(spark, "checked_customer", database)
     checked = with_status(enrich_customer_data(bronze, strict, key_type))
-    overwrite_by_status(checked, "checked_customer", database)
+    overwrite_by_status(checked, "checked_customer", database, merge_schema=False)
     written = spark.table(qualified("checked_customer", database))
     for status, (table, columns) in CUSTOMER_TABLES.items():
-        drop_table(spark, table, database)
-        overwrite_table(written.filter(written.status == status).select(*columns), table, database)
+        rows = written.filter(written.status == status).select(*columns)
+        overwrite_table(rows, table, database, merge_schema=False)
     products = enrich_product_data(spark.table(qualified("bronze_products", database)), key_type)
     overwrite_table(products, "silver_products", database)
 
@@ -108,17 +107,15 @@ def build_gold(
     The aggregate reads five columns of the order table just written. ``keep_in_memory``
     persists the joined lines for both writes instead, which pays only while they fit.
     """
-    for table in ("gold_orders", "gold_profit_agg"):
-        drop_table(spark, table, database)
     lines = enriched_orders(spark, database, broadcast_limit)
     if keep_in_memory:
         with reused(lines):
-            overwrite_clustered(lines, "gold_orders", "Row_ID", database)
-            overwrite_partitioned(profit_agg(lines), "gold_profit_agg", "Year", database)
+            overwrite_clustered(lines, "gold_orders", "Row_ID", database, merge_schema=False)
+            overwrite_partitioned(profit_agg(lines), "gold_profit_agg", "Year", database, merge_schema=False)
     else:
-        overwrite_clustered(lines, "gold_orders", "Row_ID", database)
+        overwrite_clustered(lines, "gold_orders", "Row_ID", database, merge_schema=False)
         written = spark.table(qualified("gold_orders", database))
-        overwrite_partitioned(profit_agg(written), "gold_profit_agg", "Year", database)
+        overwrite_partitioned(profit_agg(written), "gold_profit_agg", "Year", database, merge_schema=False)
     publish_orders(spark, database, orders_view)
 
 

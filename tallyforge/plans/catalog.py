@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ from tallyforge.operators.orders import enrich_order_data, low_profit_orders
 from tallyforge.operators.products import enrich_product_data
 from tallyforge.plans.batch import CUSTOMER_TABLES, build_silver, publish_orders, run_batch
 from tallyforge.plans.bronze_sample import bronze_customers, bronze_products, order_lines
+from tallyforge.sinks.publish import publish, rollback
 from tallyforge.sinks.tables import (
     overwrite_by_status,
     overwrite_clustered,
@@ -317,6 +319,25 @@ def gold_profit_agg_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written_aggregate(spark, sf_dir)
 
 
+def atomic_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The aggregate after a rebuild that fails in its last rows, and one that is taken back."""
+    database = scratch_database(spark)
+    agg = gold_profit_agg(spark, sf_dir)
+    overwrite_partitioned(agg, "gold_profit_agg", "Year", database)
+    latest = agg.agg(F.max("Year")).first()[0]
+    no_profit = F.raise_error(F.lit("this build fails")).cast("double")
+    broken = agg.withColumn("Profit", F.when(F.col("Year") == latest, no_profit).otherwise(F.col("Profit")))
+    try:
+        overwrite_partitioned(broken, "gold_profit_agg", "Year", database)
+        raise AssertionError("the build should have failed")
+    except PySparkException as failure:
+        if "this build fails" not in str(failure):
+            raise
+    publish(agg.withColumn("Profit", -F.col("Profit")), "gold_profit_agg", database, "Year")
+    rollback(spark, "gold_profit_agg", database)
+    return spark.table(qualified("gold_profit_agg", database))
+
+
 def gold_orders_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = scratch_database(spark)
     overwrite_clustered(enriched_orders(spark, sf_dir), "gold_orders", "Row_ID", database)
@@ -358,6 +379,7 @@ def all_queries() -> dict[str, Query]:
         "profit_detail": profit_detail,
         "gold_profit_agg": gold_profit_agg,
         "gold_profit_agg_partitioned": gold_profit_agg_partitioned,
+        "atomic_rebuild": atomic_rebuild,
         "gold_orders_count": gold_orders_count,
         "gold_orders_clustered": gold_orders_clustered,
         "enriched_customers": enriched_customers,

@@ -159,6 +159,7 @@ def all_oracles() -> dict[str, str]:
         "gold_profit_agg": _AGG,
         "gold_profit_agg_partitioned": _AGG,
         "batch_profit_agg": _AGG,
+        "atomic_rebuild": _AGG,
         "gold_orders_count": "SELECT count(*) AS n FROM enriched",
         "gold_orders_clustered": "SELECT * FROM enriched",
         "enriched_customers": "SELECT * FROM checked",

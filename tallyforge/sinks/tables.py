@@ -1,4 +1,8 @@
-"""Overwriting managed Parquet tables, plain, partitioned or clustered."""
+"""Overwriting Parquet tables, plain, partitioned or clustered.
+
+Each overwrite is a new version of the table that replaces the old one at once, and only if it
+was written whole; see ``publish``.
+"""
 
 from __future__ import annotations
 
@@ -10,18 +14,17 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.sinks.publish import drop_published, publish, qualified
 from tallyforge.workspace import shared_folder
 
 ROWS_PER_FILE = 1_000_000
 MIN_ROWS_PER_FILE = 50_000
 
 
-def qualified(table: str, database: str = "default") -> str:
-    return f"`{database}`.`{table}`"
-
-
 def drop_table(spark: SparkSession, table: str, database: str = "default") -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {qualified(table, database)}")
+    """Drop a table with all its versions. A rebuild needs no drop; overwrite with
+    ``merge_schema=False`` instead, which readers see no gap of."""
+    drop_published(spark, table, database)
 
 
 def with_table_schema(df: DataFrame, table: str, database: str = "default") -> DataFrame:
@@ -55,23 +58,21 @@ def with_table_schema(df: DataFrame, table: str, database: str = "default") -> D
 def overwrite_table(
     df: DataFrame, table: str, database: str = "default", merge_schema: bool = True
 ) -> None:
-    """Replace the rows of a table. Its columns stay, and new columns are added to them."""
-    if merge_schema:
-        df = with_table_schema(df, table, database)
-    df.write.format("parquet").mode("overwrite").saveAsTable(qualified(table, database))
+    """Replace the rows of a table. Its columns stay, and new columns are added to them; without
+    ``merge_schema`` it gets those of ``df``."""
+    publish(with_table_schema(df, table, database) if merge_schema else df, table, database)
 
 
 def overwrite_partitioned(
-    df: DataFrame, table: str, partition_by: str, database: str = "default"
+    df: DataFrame, table: str, partition_by: str, database: str = "default", merge_schema: bool = True
 ) -> None:
     """Replace a table that has one folder per value of ``partition_by``.
 
     ``REBALANCE`` brings the rows of a value together, so that there are few files, while AQE
     splits a value that is too big for one task and merges small ones.
     """
-    df = with_table_schema(df, table, database).hint("rebalance", partition_by)
-    writer = df.write.format("parquet").mode("overwrite").partitionBy(partition_by)
-    writer.saveAsTable(qualified(table, database))
+    whole = with_table_schema(df, table, database) if merge_schema else df
+    publish(whole.hint("rebalance", partition_by), table, database, partition_by)
 
 
 def cluster_by(df: DataFrame, column: str, partitions: int) -> DataFrame:
@@ -94,7 +95,12 @@ def file_count(spark: SparkSession, rows: int) -> int:
 
 
 def overwrite_clustered(
-    df: DataFrame, table: str, column: str, database: str = "default", partitions: int | None = None
+    df: DataFrame,
+    table: str,
+    column: str,
+    database: str = "default",
+    partitions: int | None = None,
+    merge_schema: bool = True,
 ) -> None:
     """Replace a table whose files cover narrow ranges of ``column``; see ``cluster_by``.
 
@@ -102,17 +108,18 @@ def overwrite_clustered(
     rows are then clustered.
     """
     spark = df.sparkSession
-    whole = with_table_schema(df, table, database)
+    whole = with_table_schema(df, table, database) if merge_schema else df
     folder = shared_folder(spark)
     whole.write.parquet(folder)
     written = spark.read.schema(whole.schema).parquet(folder)
-    ordered = cluster_by(written, column, partitions or file_count(spark, written.count()))
-    ordered.write.format("parquet").mode("overwrite").saveAsTable(qualified(table, database))
+    publish(cluster_by(written, column, partitions or file_count(spark, written.count())), table, database)
 
 
-def overwrite_by_status(df: DataFrame, table: str, database: str = "default") -> None:
+def overwrite_by_status(
+    df: DataFrame, table: str, database: str = "default", merge_schema: bool = True
+) -> None:
     """Write checked customers to one table with a folder per status, in a single pass."""
-    overwrite_partitioned(df, table, "status", database)
+    overwrite_partitioned(df, table, "status", database, merge_schema)
 
 
 @contextmanager

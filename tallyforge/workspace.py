@@ -46,8 +46,13 @@ def clean_up(spark: SparkSession) -> None:
     while _databases:
         spark.sql(f"DROP DATABASE IF EXISTS {_databases.pop()} CASCADE")
     while _folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_folders.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(spark, _folders.pop())
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder, if it is there, in whatever store it lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ship_package(spark: SparkSession) -> None:

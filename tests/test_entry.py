@@ -14,9 +14,9 @@ print(e.WITH_LLM, any(n.startswith("op") or n == "pipeline" for n in e.queries()
 """
 
 
-def run(folder):
+def run(folder, before=""):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
-    done = subprocess.run([sys.executable, "-c", SCRIPT], cwd=folder, env=env, capture_output=True, text=True)
+    done = subprocess.run([sys.executable, "-c", before + SCRIPT], cwd=folder, env=env, capture_output=True, text=True)
     assert done.returncode == 0, done.stderr
     return done.stdout.split()
 
@@ -27,6 +27,11 @@ def test_entry_without_the_training_data_operators(tmp_path):
     assert run(tmp_path) == ["False", "False"]
 
 
+def test_entry_without_a_package_they_need():
+    blocked = "import sys\nsys.modules['sentencepiece'] = sys.modules['zstandard'] = sys.modules['xxhash'] = None\n"
+    assert run(REPO, blocked) == ["False", "False"]
+
+
 def test_nothing_outside_imports_them():
     for path in (REPO / "tallyforge").rglob("*.py"):
         if "llm" not in path.parts:
