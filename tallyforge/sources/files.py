@@ -8,6 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.schemas import CUSTOMERS, ORDERS_FILE, PRODUCTS, ddl
+from tallyforge.sources.heads import (
+    FILES_A_TASK,
+    LINES,
+    NEITHER,
+    UNREAD,
+    WHOLE,
+    file_of_row,
+    forms,
+    forms_by_scan,
+    list_files,
+)
 
 # The text after a file's last full stop, behind which a compression may follow.
 FORMATS = {
@@ -33,38 +44,24 @@ def file_format(spark: SparkSession, path: str, *accepted: str) -> str:
     return found.pop()
 
 
-def array_files(spark: SparkSession, path: str) -> tuple[list[str], bool]:
-    """The files at ``path`` that are one JSON value over several lines, and whether others, with
-    a value on each line, are there too. A file that begins with neither ``[`` nor ``{`` raises.
+def order_forms(spark: SparkSession, path: str) -> tuple[dict[str, int], DataFrame]:
+    """How many files at ``path`` are of each form of JSON, and ``path`` and ``form`` of each.
 
-    Each file is told by its first line that is not blank. One scan finds these, and the driver
-    gets a row for each file.
+    Tasks open the files and read their first lines; only where they cannot does Spark's own
+    reader go through the files.
     """
-    lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    text = F.trim("value", F.lit("\ufeff \t\r\x0b\x0c"))
-    # Ids rise within the part of a file that one task reads, and its beginning is in one part.
-    starts = lines.filter((F.col("_metadata.file_block_start") == 0) & (text != "")).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(F.left(text, F.lit(1)).alias("head"), F.right(text, F.lit(1)).alias("tail")).alias("ends"),
-        F.regexp_replace(F.left(text, F.lit(64)), r"\s", "").alias("start"),
-        F.monotonically_increasing_id().alias("id"),
-    )
-    first = starts.groupBy("file").agg(
-        F.min_by("ends", "id").alias("ends"), F.min_by("start", "id").alias("start"), F.count("*").alias("lines")
-    )
-    arrays, others, wrong = [], False, []
-    for row in first.collect():
-        if row.ends.head == "[" and not (row.ends.tail == "]" and row.lines > 1):
-            arrays.append(row.file)
-        elif row.start == "{":
-            arrays.append(row.file)
-        elif row.ends.head in ("[", "{"):
-            others = True
-        else:
-            wrong.append(row.file)
-    if wrong:
-        raise ValueError(f"neither an array of orders nor JSON Lines: {sorted(wrong)[:10]}")
-    return arrays, others
+    files = list_files(spark, path).select("path")
+    parallel = spark.sparkContext.defaultParallelism
+    found = forms(files.repartition(max(parallel, len(files.inputFiles()) // FILES_A_TASK)))
+    counts = _counts(found)
+    if UNREAD in counts:
+        found = forms_by_scan(spark, path)
+        counts = _counts(found)
+    return counts, found
+
+
+def _counts(found: DataFrame) -> dict[str, int]:
+    return {row["form"]: row["count"] for row in found.groupBy("form").count().collect()}
 
 
 def read_orders_json(
@@ -73,19 +70,24 @@ def read_orders_json(
     """Orders from JSON. Fields match by exact name; a value of another type becomes NULL.
 
     ``multiline`` reads files that hold one array of orders, each in a single task: supply many
-    such files, or JSON Lines, which Spark splits. By default each file is read in its own form.
-    ``corrupt`` adds a column with the text of orders that do not fit the schema.
+    such files, or JSON Lines, which Spark splits. By default each file is read in its own form;
+    where both occur, the driver holds the paths of the rarer one, and a file that is of neither
+    raises. ``corrupt`` adds a column with the text of orders that do not fit the schema.
     """
-    arrays: list[str] = []
-    if multiline is None:
-        arrays, others = array_files(spark, path)
-        multiline = bool(arrays) and not others
-    if multiline or not arrays:
+    if multiline is not None:
         return _reader(spark, ORDERS_FILE, corrupt).json(path, multiLine=multiline)
-    whole = F.col("_metadata.file_path").isin(arrays)
-    forms = [(True, whole), (False, ~whole)]
-    parts = [_reader(spark, ORDERS_FILE, corrupt).json(path, multiLine=m).filter(own) for m, own in forms]
-    return parts[0].unionByName(parts[1])
+    counts, found = order_forms(spark, path)
+    if NEITHER in counts:
+        wrong = found.filter(F.col("form") == NEITHER).orderBy("path").limit(10).collect()
+        raise ValueError(f"neither an array of orders nor JSON Lines: {[row.path for row in wrong]}")
+    if not (WHOLE in counts and LINES in counts):
+        return _reader(spark, ORDERS_FILE, corrupt).json(path, multiLine=WHOLE in counts)
+    rarer = min(WHOLE, LINES, key=counts.get)
+    listed = file_of_row().isin([row.path for row in found.filter(F.col("form") == rarer).collect()])
+    # The condition is on the path alone, so files of the other form are not opened.
+    parts = [(rarer, listed), (LINES if rarer == WHOLE else WHOLE, ~listed)]
+    frames = [_reader(spark, ORDERS_FILE, corrupt).json(path, multiLine=f == WHOLE).filter(own) for f, own in parts]
+    return frames[0].unionByName(frames[1])
 
 
 def read_products_csv(
