@@ -36,6 +36,7 @@ from tallyforge.sources.files import (
     read_table_path,
 )
 from tallyforge.sources.ingest import ingest, load_file, row_counts
+from tallyforge.sources.ledger import ingest_new_files
 from tallyforge.workspace import scratch_database, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -267,6 +268,46 @@ def ingest_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(qualified("bronze_orders", database))
 
 
+def _truncate(spark: SparkSession, source: str, target: str) -> None:
+    """A copy of the first half of the largest file of a folder."""
+    path, utils = spark._jvm.org.apache.hadoop.fs.Path, spark._jvm.org.apache.commons.io.IOUtils
+    files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    largest = max(files.listStatus(path(source)), key=lambda status: status.getLen())
+    whole, half = files.open(largest.getPath()), files.create(path(target))
+    utils.copyLarge(whole, half, 0, largest.getLen() // 2)
+    whole.close()
+    half.close()
+
+
+def _delivered_twice(spark: SparkSession, sf_dir: str, database: str) -> list[DataFrame]:
+    """Order lines delivered in two parts to a folder that also has a truncated file, which is
+    loaded after each delivery. Returns both manifests."""
+    folder = f"{shared_folder(spark)}/Orders"
+    lines = order_lines(spark, sf_dir)
+    part = F.pmod(F.col("`Row ID`"), F.lit(3))
+    lines.filter(part < 2).write.json(f"{folder}/first", compression="gzip")
+    _truncate(spark, f"{folder}/first", f"{folder}/damaged.json.gz")
+    first = ingest_new_files(spark, [folder], database)
+    lines.filter(part == 2).write.json(f"{folder}/second")
+    return [first, ingest_new_files(spark, [folder], database)]
+
+
+def ingest_file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines of two deliveries, each file loaded once and a truncated one left out."""
+    database = scratch_database(spark)
+    _delivered_twice(spark, sf_dir, database)
+    return spark.table(qualified("bronze_orders", database))
+
+
+def ingest_ledger_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the files that each of two loads took, and the files that failed."""
+    manifests = _delivered_twice(spark, sf_dir, scratch_database(spark))
+    runs = [m.withColumn("run", F.lit(i)) for i, m in enumerate(manifests, 1)]
+    return reduce(DataFrame.unionByName, runs).groupBy("run", "status").agg(
+        F.sum("row_count").alias("n"), F.count_if(F.col("status") == "error").alias("failed_files")
+    )
+
+
 def load_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of each table, counted while its source is loaded."""
     folder = shared_folder(spark)
@@ -411,6 +452,8 @@ def all_queries() -> dict[str, Query]:
         "load_row_counts": load_row_counts,
         "ingest_many_files": ingest_many_files,
         "ingest_manifest": ingest_manifest,
+        "ingest_file_ledger": ingest_file_ledger,
+        "ingest_ledger_outcomes": ingest_ledger_outcomes,
         "schema_evolving_overwrite": schema_evolving_overwrite,
         "batch_profit_agg": batch_profit_agg,
         "batch_customer_status": batch_customer_status,

@@ -191,6 +191,13 @@ def all_oracles() -> dict[str, str]:
         "scan_orders_json": _ORDERS,
         "scan_orders_json_array": _ORDERS,
         "ingest_many_files": _ORDERS,
+        "ingest_file_ledger": _ORDERS,
+        "ingest_ledger_outcomes": (
+            "SELECT 1 AS run, 'loaded' AS status, count(*) FILTER (\"Row_ID\" % 3 < 2) AS n, CAST(0 AS BIGINT) AS failed_files "
+            "FROM bronze_orders UNION ALL "
+            "SELECT 2, 'loaded', count(*) FILTER (\"Row_ID\" % 3 = 2), 0 FROM bronze_orders UNION ALL "
+            "SELECT 1, 'error', NULL, 1 UNION ALL SELECT 2, 'error', NULL, 1"
+        ),
         "table_by_path": "SELECT * FROM products",
         "loaded_view": "SELECT * FROM bronze_products",
         "orders_global_view": "SELECT * FROM enriched",

@@ -65,7 +65,7 @@ def _counts(found: DataFrame) -> dict[str, int]:
 
 
 def read_orders_json(
-    spark: SparkSession, path: str, multiline: bool | None = None, corrupt: bool = False
+    spark: SparkSession, path: str | list[str], multiline: bool | None = None, corrupt: bool = False
 ) -> DataFrame:
     """Orders from JSON. Fields match by exact name; a value of another type becomes NULL.
 
@@ -92,7 +92,7 @@ def read_orders_json(
 
 def read_products_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     check_header: bool = False,
     doubled_quotes: bool = False,
     corrupt: bool = False,
@@ -110,14 +110,16 @@ def read_products_csv(
 
 def read_customers(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     check_header: bool = False,
     doubled_quotes: bool = True,
     corrupt: bool = False,
+    form: str | None = None,
 ) -> DataFrame:
-    """Customers from CSV with a header line, or from Parquet, as the files' endings say."""
-    if file_format(spark, path, "csv", "parquet") == "parquet":
-        rows = spark.read.schema(ddl(CUSTOMERS)).parquet(path)
+    """Customers from CSV with a header line, or from Parquet, as the files' endings say, unless
+    ``form`` says it."""
+    if (form or file_format(spark, path, "csv", "parquet")) == "parquet":
+        rows = spark.read.schema(ddl(CUSTOMERS)).parquet(*[path] if isinstance(path, str) else path)
         return rows.withColumn(CORRUPT, F.lit(None).cast("string")) if corrupt else rows
     options = {"escape": '"'} if doubled_quotes else {}
     reader = _reader(spark, CUSTOMERS, corrupt).options(**options)

@@ -100,7 +100,7 @@ def forms(files: DataFrame) -> DataFrame:
     return files.mapInArrow(batches, ", ".join(f"{n} {t}" for n, t in [*files.dtypes, ("form", "string")]))
 
 
-def forms_by_scan(spark: SparkSession, path: str) -> DataFrame:
+def forms_by_scan(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``path`` and ``form`` of the files at ``path`` through Spark's own reader, which reads all of
     every file, for those whose heads cannot be read."""
     lines = spark.read.option("recursiveFileLookup", "true").text(path)

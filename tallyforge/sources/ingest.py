@@ -18,6 +18,7 @@ from tallyforge.sources.files import (
     read_orders_json,
     read_products_csv,
 )
+from tallyforge.workspace import shared_folder
 
 log = logging.getLogger(__name__)
 
@@ -92,7 +93,9 @@ def ingest_entries(
     """Load every path and return the manifest rows, one per path.
 
     A path is a file, a folder or a pattern. All paths of one kind are written together. A path
-    that cannot be read gets an ``error`` row, and the others of its kind are loaded without it.
+    that cannot be read gets an ``error`` row, and the others of its kind are loaded without it:
+    where writing them together fails, each is written by itself first. If none can be read, the
+    table stays as it is. ``ledger.ingest_new_files`` does the same file by file.
     Rows that do not fit the schema are loaded as far as they do, and counted.
     """
     entries, sources = [], {}
@@ -109,16 +112,40 @@ def ingest_entries(
             entry["error"] = str(failure)
     for table, members in sources.items():
         try:
-            counts = load_table(spark, table, [rows for _, rows in members], database)
-            for (entry, _), (rows, corrupt) in zip(members, counts):
-                entry |= {"status": "loaded", "row_count": rows, "corrupt_rows": corrupt}
+            load_members(spark, table, members, database)
         except Exception as failure:
-            log.error("could not load %s: %s", table, failure)
-            for entry, _ in members:
-                entry["error"] = str(failure)
+            log.error("could not load %s together: %s", table, failure)
+            try:
+                if sound := staged_members(spark, members):
+                    load_members(spark, table, sound, database)
+            except Exception as failure:
+                log.error("could not load %s: %s", table, failure)
+                for entry, _ in members:
+                    entry["error"] = entry["error"] or str(failure)
     return entries
 
 
+def load_members(spark: SparkSession, table: str, members: list[tuple[dict, DataFrame]], database: str) -> None:
+    """Load the rows of a table's sources together and fill in their manifest rows."""
+    counts = load_table(spark, table, [rows for _, rows in members], database)
+    for (entry, _), (rows, corrupt) in zip(members, counts):
+        entry |= {"status": "loaded", "row_count": rows, "corrupt_rows": corrupt}
+
+
+def staged_members(spark: SparkSession, members: list[tuple[dict, DataFrame]]) -> list[tuple[dict, DataFrame]]:
+    """Those sources that can be written by themselves, as written; the others get an error."""
+    sound = []
+    for entry, rows in members:
+        folder = shared_folder(spark)
+        try:
+            rows.write.parquet(folder)
+            sound.append((entry, spark.read.schema(rows.schema).parquet(folder)))
+        except Exception as failure:
+            log.error("could not load %s: %s", entry["file"], failure)
+            entry["error"] = str(failure)
+    return sound
+
+
 def ingest(
     spark: SparkSession,
     paths: Iterable[str],

@@ -171,6 +171,21 @@ def test_load_continues_after_a_bad_file(spark, tmp_path, database):
     assert spark.table("bronze_orders_loaded").count() == 2
 
 
+def test_a_truncated_file_costs_only_its_path(spark, tmp_path, database):
+    rows = "a,b,c,d\n" + "".join(f"P{i},C,S,{i * i}\n" for i in range(3000))
+    (tmp_path / "Products_ok.csv").write_text("a,b,c,d\nP1,C,S,N\n")
+    whole = gzip.compress(rows.encode())
+    (tmp_path / "Products_bad.csv.gz").write_bytes(whole[: len(whole) // 2])
+    paths = [f"{tmp_path}/Products_bad.csv.gz", f"{tmp_path}/Products_ok.csv"]
+    found = {r.file: (r.status, r.row_count) for r in ingest(spark, paths, database).collect()}
+    assert found == {"Products_ok.csv": ("loaded", 1), "Products_bad.csv.gz": ("error", None)}
+    assert spark.table(f"{database}.bronze_products").count() == 1
+    # With no sound source at all the table of the last good load stays.
+    entry = load_file(paths[0], spark, database)
+    assert entry["status"] == "error" and "Products_bad" in entry["error"]
+    assert spark.table(f"{database}.bronze_products").first().Product_ID == "P1"
+
+
 def test_empty_files_load_no_rows(spark, tmp_path, database):
     (tmp_path / "Orders.json").write_text("[]")
     (tmp_path / "Products.csv").write_text("Product_ID,Category,Sub_Category,Product_Name\n")
