@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions.cleaning import address_line, clean_name, name_problem, phone_problem
 from tallyforge.operators.columns import require_columns
 from tallyforge.operators.keys import add_dense_key
+from tallyforge.operators.registry import add_registered_key
 from tallyforge.schemas import CUSTOMERS, ENRICHED_CUSTOMER, SILVER_CUSTOMER
 
 NAME_IS_BAD = "Customer_Name_Bad"
@@ -31,14 +32,20 @@ def clean_customers(df: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
-def enrich_customer_data(df: DataFrame, strict: bool = False, key_type: str = "int") -> DataFrame:
+def enrich_customer_data(
+    df: DataFrame, strict: bool = False, key_type: str = "int", registry: tuple[str, str] | None = None
+) -> DataFrame:
     """The enriched customer: ``Customer_PK`` 1..n by ``Customer_ID``, cleaned fields, flags.
 
-    The key counts all customers, also those later found bad, and holds for one run only. Over
-    2,147,483,647 customers need ``key_type="bigint"``.
+    The key counts all customers, also those later found bad, and holds for one run only, unless
+    ``registry`` names a table and its database that remember the keys. Over 2,147,483,647
+    customers need ``key_type="bigint"``.
     """
     require_columns(df, CUSTOMERS, "customers")
-    keyed = add_dense_key(df, "Customer_PK", ["Customer_ID"], key_type)
+    if registry:
+        keyed = add_registered_key(df, "Customer_PK", "Customer_ID", *registry, key_type=key_type)
+    else:
+        keyed = add_dense_key(df, "Customer_PK", ["Customer_ID"], key_type)
     return clean_customers(keyed, strict).select(*ENRICHED_CUSTOMER)
 
 

@@ -19,9 +19,9 @@ def row_bytes(df: DataFrame) -> int:
 
 
 def join_dimension(
-    fact: DataFrame, dimension: DataFrame, key: str, broadcast_limit: int | None = None
+    fact: DataFrame, dimension: DataFrame, key: str, broadcast_limit: int | None = None, how: str = "inner"
 ) -> DataFrame:
-    """Inner equi-join on ``key``; NULL keys match nothing, repeated dimension keys fan out.
+    """Equi-join on ``key``; NULL keys match nothing, repeated dimension keys fan out.
 
     Without ``broadcast_limit`` the choice is left to Catalyst and AQE: broadcast below the
     session's threshold, else sort-merge, where AQE splits the partition of a hot key.
@@ -34,4 +34,4 @@ def join_dimension(
         broadcast_limit = None
     if broadcast_limit and row_bytes(dimension) <= broadcast_limit:
         dimension = F.broadcast(dimension)
-    return fact.join(dimension, key, "inner")
+    return fact.join(dimension, key, how)

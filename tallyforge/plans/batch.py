@@ -45,6 +45,7 @@ def run_batch(
     key_type: str = "int",
     orders_view: str = ORDERS_VIEW,
     new_files_only: bool = False,
+    stable_keys: bool = False,
 ) -> DataFrame:
     """Load the files, build the silver and gold tables, and return the load manifest.
 
@@ -54,13 +55,14 @@ def run_batch(
 
     ``new_files_only`` loads the files that no such run has loaded before and adds their rows to
     the bronze tables; files that cannot be read are in the manifest and stop nothing.
+    ``stable_keys``: see ``build_silver``.
     """
     if new_files_only:
         manifest = ingest_new_files(spark, paths, database, options)
         absent = [t for t in ROUTES.values() if not spark.catalog.tableExists(qualified(t, database))]
         if absent:
             raise RuntimeError(f"no file was ever loaded for {absent}")
-        build_silver(spark, database, strict, key_type)
+        build_silver(spark, database, strict, key_type, stable_keys)
         build_gold(spark, database, broadcast_limit, orders_view=orders_view)
         return manifest
     entries = ingest_entries(spark, paths, database, multiline, options)
@@ -71,28 +73,36 @@ def run_batch(
     if missing and not allow_existing:
         unknown = [e["file"] for e in entries if not e["table_name"]]
         raise RuntimeError(f"no source for {sorted(missing)}; files of unknown kind: {unknown}")
-    build_silver(spark, database, strict, key_type)
+    build_silver(spark, database, strict, key_type, stable_keys)
     build_gold(spark, database, broadcast_limit, orders_view=orders_view)
     return spark.createDataFrame(entries, MANIFEST)
 
 
 def build_silver(
-    spark: SparkSession, database: str = "default", strict: bool = False, key_type: str = "int"
+    spark: SparkSession,
+    database: str = "default",
+    strict: bool = False,
+    key_type: str = "int",
+    stable_keys: bool = False,
 ) -> None:
     """Write the checked customers by status, a table for each status, and keyed products.
 
     A customer with an unknown name or phone may be neither valid nor bad; it is kept as
     ``unclassified``, so the three tables hold every customer once. Every table is replaced at
     once, with the columns of this run; one whose build fails keeps its content.
+
+    ``stable_keys`` takes surrogate keys from registries, in which an id keeps its key.
     """
+    customer_keys = ("customer_keys", database) if stable_keys else None
+    product_keys = ("product_keys", database) if stable_keys else None
     bronze = spark.table(qualified("bronze_customer", database))
-    checked = with_status(enrich_customer_data(bronze, strict, key_type))
+    checked = with_status(enrich_customer_data(bronze, strict, key_type, customer_keys))
     overwrite_by_status(checked, "checked_customer", database, merge_schema=False)
     written = spark.table(qualified("checked_customer", database))
     for status, (table, columns) in CUSTOMER_TABLES.items():
         rows = written.filter(written.status == status).select(*columns)
         overwrite_table(rows, table, database, merge_schema=False)
-    products = enrich_product_data(spark.table(qualified("bronze_products", database)), key_type)
+    products = enrich_product_data(spark.table(qualified("bronze_products", database)), key_type, product_keys)
     overwrite_table(products, "silver_products", database)
 
 

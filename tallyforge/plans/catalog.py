@@ -14,13 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.operators import customers as cust
-from tallyforge.operators import profit, quality
+from tallyforge.operators import profit, quality, rejects, skew
 from tallyforge.operators.columns import sanitize_cols
 from tallyforge.operators.keys import add_dense_key
 from tallyforge.operators.orders import enrich_order_data, low_profit_orders
 from tallyforge.operators.products import enrich_product_data
+from tallyforge.operators.registry import registry
 from tallyforge.plans.batch import CUSTOMER_TABLES, build_silver, publish_orders, run_batch
 from tallyforge.plans.bronze_sample import bronze_customers, bronze_products, order_lines
+from tallyforge.plans.refresh import change_orders, refresh_profit_agg
 from tallyforge.sinks.publish import publish, rollback
 from tallyforge.sinks.tables import (
     overwrite_by_status,
@@ -127,6 +129,42 @@ def low_profit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return low_profit_orders(enriched_orders(spark, sf_dir))
 
 
+def _uneven_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Order lines with cleaned customers and products of which some are missing and some repeated."""
+    customers = checked_customers(spark, sf_dir)
+    customers = customers.filter(F.col("Customer_ID").cast("bigint") % 19 != 0)
+    products = bronze_products(spark, sf_dir).filter(F.col("Product_ID").cast("bigint") % 13 != 0)
+    products = products.unionByName(products.filter(F.col("Product_ID").cast("bigint") % 17 == 0))
+    return sanitize_cols(order_lines(spark, sf_dir)), customers, products
+
+
+def rejected_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines without a valid customer or a product, with the reason."""
+    matched = rejects.with_matches(*_uneven_orders(spark, sf_dir))
+    return rejects.rejected_orders(matched).select("Row_ID", "Order_ID", "Customer_ID", "Product_ID", "reason")
+
+
+def order_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines accounted for: those in against those enriched, rejected and added."""
+    orders, customers, products = _uneven_orders(spark, sf_dir)
+    enriched = enrich_order_data(orders, cust.valid_customers(customers), products)
+    return rejects.reconciliation(rejects.with_matches(orders, customers, products), enriched)
+
+
+def repeated_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that a dimension has more than once."""
+    return rejects.repeated_ids(_uneven_orders(spark, sf_dir)[2], "Product_ID")
+
+
+def skewed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines of which a third have one customer, joined without leaving that one to a task."""
+    lines = sanitize_cols(order_lines(spark, sf_dir))
+    hot = F.when(F.col("Row_ID") % 3 == 0, F.lit("1")).otherwise(F.col("Customer_ID"))
+    customers = cust.valid_customers(checked_customers(spark, sf_dir)).select("Customer_ID", "Customer_Name")
+    joined = skew.skewed_join(lines.withColumn("Customer_ID", hot), customers.hint("merge"), "Customer_ID", tasks=64)
+    return joined.select("Row_ID", "Order_ID", "Product_ID", "Customer_ID", "Customer_Name")
+
+
 # --- customers, keys and quality ----------------------------------------------------------
 
 
@@ -140,6 +178,28 @@ def product_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_dense_key(ids, "Product_PK", ["Product_ID"])
 
 
+def _two_loads(df: DataFrame, id_column: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of two loads; the second lacks some ids of the first and has others."""
+    number = F.col(id_column).cast("bigint")
+    return df.filter(number % 3 != 0), df.filter(number % 5 != 0)
+
+
+def stable_customer_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of a second load with the keys a registry gives them."""
+    place = ("customer_keys", scratch_database(spark))
+    first, second = _two_loads(bronze_customers(spark, sf_dir), "Customer_ID")
+    cust.enrich_customer_data(first, registry=place)
+    return cust.enrich_customer_data(second, registry=place).select("Customer_PK", "Customer_ID")
+
+
+def stable_product_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry of products after two loads."""
+    place = ("product_keys", scratch_database(spark))
+    for load in _two_loads(bronze_products(spark, sf_dir), "Product_ID"):
+        enrich_product_data(load, registry=place)
+    return registry(spark, *place)
+
+
 def valid_customers(spark: SparkSession, sf_dir: str, strict: bool = False) -> DataFrame:
     return cust.valid_customers(enriched_customers(spark, sf_dir, strict))
 
@@ -360,6 +420,20 @@ def gold_profit_agg_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written_aggregate(spark, sf_dir)
 
 
+def incremental_profit_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The aggregate after lines of two years were added and corrected; only these are rebuilt."""
+    database = scratch_database(spark)
+    lines = enriched_orders(spark, sf_dir)
+    new, corrected = F.col("Row_ID") % 4 == 0, F.col("Row_ID") % 10 == 1
+    overwrite_clustered(lines.filter(~new), "gold_orders", "Row_ID", database)
+    written = spark.table(qualified("gold_orders", database))
+    overwrite_partitioned(profit.profit_agg(written), "gold_profit_agg", "Year", database)
+    changed = lines.filter((new | corrected) & F.year("Order_Date").isin(1995, 1997))
+    changed = changed.withColumn("Profit", F.when(corrected, -F.col("Profit")).otherwise(F.col("Profit")))
+    refresh_profit_agg(spark, change_orders(spark, changed, database), database)
+    return spark.table(qualified("gold_profit_agg", database))
+
+
 def atomic_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The aggregate after a rebuild that fails in its last rows, and one that is taken back."""
     database = scratch_database(spark)
@@ -421,12 +495,19 @@ def all_queries() -> dict[str, Query]:
         "gold_profit_agg": gold_profit_agg,
         "gold_profit_agg_partitioned": gold_profit_agg_partitioned,
         "atomic_rebuild": atomic_rebuild,
+        "incremental_profit_agg": incremental_profit_agg,
         "gold_orders_count": gold_orders_count,
         "gold_orders_clustered": gold_orders_clustered,
         "enriched_customers": enriched_customers,
         "enriched_customers_strict": strictly(enriched_customers),
         "enriched_products": enriched_products,
         "enriched_orders": enriched_orders,
+        "rejected_orders": rejected_orders,
+        "order_reconciliation": order_reconciliation,
+        "repeated_products": repeated_products,
+        "skewed_join": skewed_join,
+        "stable_customer_keys": stable_customer_keys,
+        "stable_product_keys": stable_product_keys,
         "customer_surrogate_key": customer_surrogate_key,
         "product_surrogate_key": product_surrogate_key,
         "valid_customers": valid_customers,

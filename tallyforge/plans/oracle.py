@@ -120,6 +120,55 @@ CASE WHEN "Customer_Name_Bad" = '' AND "Phone_Bad" = false THEN 'valid'
 """
 _COUNTS = f"SELECT status, count(*) AS n FROM (SELECT {_STATUS} FROM {{}}) GROUP BY status"
 
+_KEPT_PRODUCTS = 'SELECT * FROM bronze_products WHERE CAST("Product_ID" AS BIGINT) % 13 <> 0'
+_UNEVEN = f"""
+, some_customers AS (SELECT * FROM checked WHERE CAST("Customer_ID" AS BIGINT) % 19 <> 0),
+some_products AS (
+  {_KEPT_PRODUCTS} UNION ALL {_KEPT_PRODUCTS} AND CAST("Product_ID" AS BIGINT) % 17 = 0
+),
+people AS (
+  SELECT "Customer_ID", count(*) FILTER ("Customer_Name_Bad" = '' AND "Phone_Bad" = false) AS valid
+  FROM some_customers GROUP BY ALL
+),
+goods AS (SELECT "Product_ID", count(*) AS goods FROM some_products GROUP BY ALL),
+matched AS (
+  SELECT o.*, coalesce(valid * goods, 0) AS copies,
+    concat_ws(',',
+      CASE WHEN valid IS NULL THEN 'unknown customer' WHEN valid = 0 THEN 'invalid customer' END,
+      CASE WHEN goods IS NULL THEN 'unknown product' END) AS reason
+  FROM bronze_orders o LEFT JOIN people USING ("Customer_ID") LEFT JOIN goods USING ("Product_ID")
+)
+"""
+_RECONCILED = """
+SELECT lines_in, rejected, added, lines_out, lines_in - rejected + added - lines_out AS missing
+FROM (
+  SELECT count(*) AS lines_in, count(*) FILTER (copies = 0) AS rejected,
+    CAST(sum(greatest(copies - 1, 0)) AS BIGINT) AS added
+  FROM matched
+), (
+  SELECT count(*) AS lines_out
+  FROM bronze_orders JOIN some_customers USING ("Customer_ID") JOIN some_products USING ("Product_ID")
+  WHERE "Customer_Name_Bad" = '' AND "Phone_Bad" = false
+)
+"""
+_CHANGED = """
+SELECT CAST(year("Order_Date") AS INTEGER) AS "Year", "Category", "Sub_Category", "Customer_Name",
+  CAST(sum(CASE WHEN "Row_ID" % 10 = 1 AND year("Order_Date") IN (1995, 1997) THEN -cents ELSE cents END) AS DOUBLE)
+    AS "Profit"
+FROM exact_lines
+WHERE "Row_ID" % 4 <> 0 OR year("Order_Date") IN (1995, 1997)
+GROUP BY ALL
+"""
+
+
+def _registered(id_column: str, key: str, table: str) -> str:
+    """The registry after two loads of a table: ids of the first, then new ones of the second."""
+    number = f'CAST("{id_column}" AS BIGINT)'
+    return (
+        f'SELECT CAST(row_number() OVER (ORDER BY {number} % 3 = 0, "{id_column}") AS INTEGER) AS "{key}", '
+        f'"{id_column}" FROM {table} WHERE {number} % 3 <> 0 OR {number} % 5 <> 0'
+    )
+
 
 def _totals(keys: str, where: str = "", order: str = "") -> str:
     return (
@@ -160,6 +209,22 @@ def all_oracles() -> dict[str, str]:
         "gold_profit_agg_partitioned": _AGG,
         "batch_profit_agg": _AGG,
         "atomic_rebuild": _AGG,
+        "incremental_profit_agg": _CHANGED,
+        "rejected_orders": (
+            f'{_UNEVEN} SELECT "Row_ID", "Order_ID", "Customer_ID", "Product_ID", reason FROM matched WHERE copies = 0'
+        ),
+        "order_reconciliation": f"{_UNEVEN} {_RECONCILED}",
+        "repeated_products": f'{_UNEVEN} SELECT "Product_ID", goods AS n FROM goods WHERE goods > 1',
+        "skewed_join": (
+            'SELECT "Row_ID", "Order_ID", "Product_ID", c."Customer_ID", c."Customer_Name" FROM bronze_orders o '
+            "JOIN checked c ON c.\"Customer_ID\" = CASE WHEN \"Row_ID\" % 3 = 0 THEN '1' ELSE o.\"Customer_ID\" END "
+            'WHERE "Customer_Name_Bad" = \'\' AND "Phone_Bad" = false'
+        ),
+        "stable_customer_keys": (
+            f'SELECT * FROM ({_registered("Customer_ID", "Customer_PK", "bronze_customer")}) '
+            'WHERE CAST("Customer_ID" AS BIGINT) % 5 <> 0'
+        ),
+        "stable_product_keys": _registered("Product_ID", "Product_PK", "bronze_products"),
         "gold_orders_count": "SELECT count(*) AS n FROM enriched",
         "gold_orders_clustered": "SELECT * FROM enriched",
         "enriched_customers": "SELECT * FROM checked",
