@@ -53,5 +53,38 @@ def profit_by_year_category(agg: DataFrame, category: str | None = None) -> Data
     return _totals(agg, "Year", "Category").orderBy("Year", "Category")
 
 
+# The reports and the columns each groups by.
+REPORTS = {
+    "profit_by_year": ("Year",),
+    "profit_by_customer": ("Customer_Name",),
+    "profit_by_year_customer": ("Year", "Customer_Name"),
+    "profit_by_year_category": ("Year", "Category"),
+}
+REPORT_KEYS = ["Year", "Customer_Name", "Category"]
+
+
+def profit_reports(agg: DataFrame) -> DataFrame:
+    """All reports by one pass and one shuffle: ``report``, its keys, and ``Profit``.
+
+    Keys that a report does not group by are NULL. ``report`` comes from the grouping set and not
+    from these, so an unknown year is a row of its own beside the totals over all years.
+    """
+    sets = [[F.col(c) for c in keys] for keys in REPORTS.values()]
+    grouped = agg.groupingSets(sets, *REPORT_KEYS).agg(
+        F.grouping_id(*REPORT_KEYS).alias("_set"), F.round(money_sum(F.col("Profit")), 2).alias("Profit")
+    )
+    report = F.lit(None).cast("string")
+    for name, keys in REPORTS.items():
+        # A bit is set for each column that is not grouped by, the first column's highest.
+        absent = sum(1 << i for i, c in enumerate(reversed(REPORT_KEYS)) if c not in keys)
+        report = F.when(F.col("_set") == absent, name).otherwise(report)
+    return grouped.select(report.alias("report"), *REPORT_KEYS, "Profit")
+
+
+def report_slice(reports: DataFrame, name: str) -> DataFrame:
+    """One report out of all of them, with its own columns."""
+    return reports.filter(F.col("report") == name).select(*REPORTS[name], "Profit")
+
+
 def row_total(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))

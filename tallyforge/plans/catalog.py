@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.operators import customers as cust
-from tallyforge.operators import profit, quality, rejects, skew
+from tallyforge.operators import profile, profit, quality, rejects, skew
 from tallyforge.operators.columns import sanitize_cols
 from tallyforge.operators.keys import add_dense_key
 from tallyforge.operators.orders import enrich_order_data, low_profit_orders
@@ -31,6 +31,7 @@ from tallyforge.sinks.tables import (
     overwrite_table,
     qualified,
 )
+from tallyforge.sinks.zorder import overwrite_zordered
 from tallyforge.sources.files import (
     read_customers,
     read_orders_json,
@@ -105,6 +106,20 @@ def profit_by_year_category_filtered(spark: SparkSession, sf_dir: str) -> DataFr
     return profit.profit_by_year_category(written_aggregate(spark, sf_dir), REPORT_CATEGORY)
 
 
+def profit_reports_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four reports as grouping sets of one aggregate."""
+    return profit.profit_reports(profit_lines(spark, sf_dir))
+
+
+def profit_by_customer_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One customer's profit from the order table, whose files have Bloom filters on the name."""
+    database = scratch_database(spark)
+    lines = enriched_orders(spark, sf_dir)
+    overwrite_clustered(lines, "gold_orders", "Row_ID", database, bloom=["Customer_Name"])
+    written = profit.with_year(spark.table(qualified("gold_orders", database)))
+    return profit.profit_by_customer(written, REPORT_CUSTOMER)
+
+
 def gold_profit_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profit.profit_agg(enriched_orders(spark, sf_dir))
 
@@ -225,6 +240,32 @@ def cast_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.cast_audit(products, {name: "int" for name in products.columns})
 
 
+# What the columns of the bronze tables are to hold. Those not named hold text.
+DECLARED = {
+    "bronze_customer": {"Customer_ID": "int", "Phone": "double", "Postal_Code": "int"},
+    "bronze_products": {"Product_ID": "int", "Product_Name": "int"},
+    "bronze_orders": {
+        "Customer_ID": "int", "Discount": "double", "Order_Date": "date", "Order_ID": "bigint", "Price": "double",
+        "Product_ID": "int", "Profit": "double", "Quantity": "int", "Row_ID": "bigint", "Ship_Date": "date",
+    },
+}
+
+
+def column_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of all columns of the bronze tables, a pass over each; what is exact in them."""
+    frames = {
+        "bronze_customer": bronze_customers(spark, sf_dir),
+        "bronze_products": bronze_products(spark, sf_dir),
+        "bronze_orders": sanitize_cols(order_lines(spark, sf_dir)),
+    }
+    found = []
+    for table, df in frames.items():
+        kinds = {c: DECLARED[table].get(c, "string") for c in df.columns}
+        rows = profile.column_profile(df, kinds).select(*profile.EXACT)
+        found.append(rows.withColumn("table_name", F.lit(table)))
+    return reduce(DataFrame.unionByName, found)
+
+
 # --- sources ------------------------------------------------------------------------------
 
 
@@ -459,6 +500,13 @@ def gold_orders_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(qualified("gold_orders", database))
 
 
+def gold_orders_zorder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines laid out by number and date at once."""
+    database = scratch_database(spark)
+    overwrite_zordered(enriched_orders(spark, sf_dir), "gold_orders", ["Row_ID", "Order_Date"], database)
+    return spark.table(qualified("gold_orders", database))
+
+
 def customers_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All checked customers written in one pass, one folder per status, and read back."""
     database = scratch_database(spark)
@@ -492,12 +540,15 @@ def all_queries() -> dict[str, Query]:
         "profit_by_year_category": profit_by_year_category,
         "profit_by_year_category_filtered": profit_by_year_category_filtered,
         "profit_detail": profit_detail,
+        "profit_reports_cube": profit_reports_cube,
+        "profit_by_customer_bloom": profit_by_customer_bloom,
         "gold_profit_agg": gold_profit_agg,
         "gold_profit_agg_partitioned": gold_profit_agg_partitioned,
         "atomic_rebuild": atomic_rebuild,
         "incremental_profit_agg": incremental_profit_agg,
         "gold_orders_count": gold_orders_count,
         "gold_orders_clustered": gold_orders_clustered,
+        "gold_orders_zorder": gold_orders_zorder,
         "enriched_customers": enriched_customers,
         "enriched_customers_strict": strictly(enriched_customers),
         "enriched_products": enriched_products,
@@ -522,6 +573,7 @@ def all_queries() -> dict[str, Query]:
         "customers_by_status": customers_by_status,
         "low_profit_orders": low_profit,
         "cast_audit": cast_audit,
+        "column_profiles": column_profiles,
         "sanitize_columns": sanitize_columns,
         "scan_orders_json": scan_orders_json,
         "scan_orders_json_array": scan_orders_json_array,

@@ -169,6 +169,50 @@ def _registered(id_column: str, key: str, table: str) -> str:
         f'"{id_column}" FROM {table} WHERE {number} % 3 <> 0 OR {number} % 5 <> 0'
     )
 
+_SETS = """
+SELECT CASE grouping("Year", "Customer_Name", "Category")
+    WHEN 3 THEN 'profit_by_year' WHEN 5 THEN 'profit_by_customer'
+    WHEN 1 THEN 'profit_by_year_customer' WHEN 2 THEN 'profit_by_year_category' END AS report,
+  "Year", "Customer_Name", "Category", CAST(round(sum(total), 2) AS DOUBLE) AS "Profit"
+FROM agg
+GROUP BY GROUPING SETS (("Year"), ("Customer_Name"), ("Year", "Customer_Name"), ("Year", "Category"))
+"""
+
+
+def _profile(table: str, column: str, kind: str) -> str:
+    name = f'"{column}"'
+    if column == "Profit":
+        name = "CAST(exact_profit AS DOUBLE)"
+    typed, size = {
+        "string": (name, f"length({name})"),
+        "date": (f"try_strptime({name}, '%d/%m/%Y')", f"date_diff('day', DATE '1970-01-01', try_strptime({name}, '%d/%m/%Y'))"),
+        "int": (f"TRY_CAST({name} AS INTEGER)",) * 2,
+        "bigint": (f"TRY_CAST({name} AS BIGINT)",) * 2,
+        "double": (f"TRY_CAST({name} AS DOUBLE)",) * 2,
+    }[kind]
+    failed = f"{name} IS NOT NULL AND {typed} IS NULL"
+    return (
+        f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{kind}' AS target_type, count(*) AS n, "
+        f"count(*) FILTER ({name} IS NULL) AS n_null, count(*) FILTER ({failed}) AS n_failed, "
+        f"min(CAST({name} AS VARCHAR)) FILTER ({failed}) AS smallest_failed, "
+        f"CAST(min({size}) AS DOUBLE) AS least, CAST(max({size}) AS DOUBLE) AS greatest FROM {table}"
+    )
+
+
+def _profiles() -> str:
+    declared = {
+        "bronze_customer": (
+            "Customer_ID:int Customer_Name Email Phone:double Address Segment Country City State Postal_Code:int Region"
+        ),
+        "bronze_products": "Product_ID:int Category Sub_Category Product_Name:int",
+        "bronze_orders": (
+            "Customer_ID:int Discount:double Order_Date:date Order_ID:bigint Price:double Product_ID:int Profit:double "
+            "Quantity:int Row_ID:bigint Ship_Date:date Ship_Mode"
+        ),
+    }
+    columns = [(t, *f"{c}:string".split(":")[:2]) for t, names in declared.items() for c in names.split()]
+    return " UNION ALL ".join(_profile(*column) for column in columns)
+
 
 def _totals(keys: str, where: str = "", order: str = "") -> str:
     return (
@@ -209,6 +253,10 @@ def all_oracles() -> dict[str, str]:
         "gold_profit_agg_partitioned": _AGG,
         "batch_profit_agg": _AGG,
         "atomic_rebuild": _AGG,
+        "profit_reports_cube": _SETS,
+        "profit_by_customer_bloom": _totals('"Customer_Name"', "WHERE \"Customer_Name\" = 'SharedName'"),
+        "gold_orders_zorder": "SELECT * FROM enriched",
+        "column_profiles": _profiles(),
         "incremental_profit_agg": _CHANGED,
         "rejected_orders": (
             f'{_UNEVEN} SELECT "Row_ID", "Order_ID", "Customer_ID", "Product_ID", reason FROM matched WHERE copies = 0'

@@ -7,13 +7,14 @@ was written whole; see ``publish``.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.sinks.bloom import bloom_options
 from tallyforge.sinks.publish import drop_published, publish, qualified
 from tallyforge.workspace import shared_folder
 
@@ -101,18 +102,22 @@ def overwrite_clustered(
     database: str = "default",
     partitions: int | None = None,
     merge_schema: bool = True,
+    bloom: Sequence[str] = (),
 ) -> None:
     """Replace a table whose files cover narrow ranges of ``column``; see ``cluster_by``.
 
     The rows are first written as they come, so what is below ``df`` runs once, and the written
-    rows are then clustered.
+    rows are then clustered. The columns in ``bloom`` get Bloom filters, so that a lookup by one of
+    them reads only the row groups that may have the value.
     """
     spark = df.sparkSession
     whole = with_table_schema(df, table, database) if merge_schema else df
     folder = shared_folder(spark)
     whole.write.parquet(folder)
     written = spark.read.schema(whole.schema).parquet(folder)
-    publish(cluster_by(written, column, partitions or file_count(spark, written.count())), table, database)
+    files = partitions or file_count(spark, written.count())
+    options = bloom_options(written, list(bloom), files) if bloom else None
+    publish(cluster_by(written, column, files), table, database, options=options)
 
 
 def overwrite_by_status(

@@ -1,0 +1,228 @@
+"""Z order, Bloom filters, reports by grouping sets, and column profiles."""
+
+import bisect
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyforge.operators import profile as prof
+from tallyforge.operators import profit
+from tallyforge.plans import catalog
+from tallyforge.schemas import GOLD_PROFIT_AGG, ddl
+from tallyforge.sinks.tables import overwrite_clustered
+from tallyforge.sinks.zorder import overwrite_zordered, rank, sortable, z_value, zorder_by
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def rows(df):
+    return Counter(map(tuple, df.collect()))
+
+
+# --- Z order --------------------------------------------------------------------------------
+
+
+def files_with(table, column, value):
+    """Files whose range of a column has the value, out of all."""
+    spans = table.groupBy(F.input_file_name()).agg(F.min(column).alias("lo"), F.max(column).alias("hi")).collect()
+    return sum(r.lo <= value <= r.hi for r in spans), len(spans)
+
+
+def test_either_filter_touches_few_files(spark, database):
+    day = F.date_add(F.lit("2015-01-01").cast("date"), (F.xxhash64("id") % 700).cast("int"))
+    df = spark.range(0, 40_000, 1, 8).select("id", day.alias("d"), F.concat(F.lit("n"), F.hex(F.xxhash64("id", F.lit(1)))).alias("s"))
+    overwrite_zordered(df, "z", ["id", "d"], database, partitions=64)
+    overwrite_clustered(df, "c", "id", database, partitions=64)
+    table, clustered = spark.table(f"{database}.z"), spark.table(f"{database}.c")
+    assert rows(table) == rows(df)
+    days = [r.d for r in df.select("d").limit(40).collect()]
+    by_id = [files_with(table, "id", i) for i in range(0, 40_000, 1000)]
+    by_day = [files_with(table, "d", d) for d in days]
+    # The square root of the files is 8.
+    assert {n for _, n in by_id} == {64}
+    assert sum(n for n, _ in by_id) / len(by_id) <= 16 and sum(n for n, _ in by_day) / len(by_day) <= 16
+    assert min(files_with(clustered, "d", d)[0] for d in days) >= 60
+
+
+def test_hot_cell_and_copies_are_spread(spark):
+    for other in (F.col("id"), F.lit(0)):
+        df = spark.range(0, 24_000, 1, 8).select(F.lit(1).alias("a"), F.lit("x").alias("b"), other.alias("v"))
+        sizes = [r["count"] for r in zorder_by(df, ["a", "b"], 8).groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 24_000 and max(sizes) < 6_000
+
+
+def test_rank_counts_bounds(spark):
+    bounds = [1.0, 2.5, 2.75, 9.0, 11.0]
+    values = [None, -5.0, 1.0, 1.5, 2.5, 2.6, 8.9, 9.0, 50.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    found = [r.r for r in df.select(rank(F.col("v"), bounds).alias("r")).collect()]
+    assert found == [0 if v is None else bisect.bisect_right(bounds, v) for v in values]
+    assert {r.r for r in df.select(rank(F.col("v"), []).alias("r")).collect()} == {0}
+
+
+def test_z_value_interleaves(spark):
+    df = spark.range(256).select(F.col("id").cast("int").alias("a")).join(spark.range(4).select((F.col("id") * 64).alias("b")), F.lit(True))
+    found = df.select("a", "b", z_value(df, ["a", "b"]).alias("z")).collect()
+    ranks = {c: {v: i for i, v in enumerate(sorted({r[c] for r in found}))} for c in "ab"}
+    assert len({r.z for r in found}) > 900
+    low = [r.z for r in found if ranks["a"][r.a] < 100 and ranks["b"][r.b] < 2]
+    high = [r.z for r in found if ranks["a"][r.a] > 140 and ranks["b"][r.b] > 2]
+    assert max(low) < min(high)
+
+
+def test_sortable_keeps_order(spark):
+    texts = ["", "A", "a", "aa", "ab", "b", "zzz", "Äb", "é", None, "梦"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("n", sortable("t", "string"))
+    found = [(r.t.encode(), r.n) for r in df.filter("t IS NOT NULL").collect()]
+    assert [n for _, n in sorted(found)] == sorted(n for _, n in found)
+    assert df.filter("t IS NULL").first().n is None
+    dates = spark.sql("SELECT DATE '1969-12-31' AS d, TIMESTAMP '2020-01-01 00:00:01' AS t")
+    assert tuple(dates.select(sortable("d", "date"), F.col("t").cast("double") == sortable("t", "timestamp")).first()) == (-1.0, True)
+
+
+def test_zorder_of_nothing_and_of_nulls(spark, database):
+    overwrite_zordered(spark.createDataFrame([], "a int, b string"), "t", ["a", "b"], database)
+    assert spark.table(f"{database}.t").count() == 0
+    df = spark.createDataFrame([(None, None), (1, None), (None, "x"), (2, "y")], "a int, b string")
+    overwrite_zordered(df, "t", ["a", "b"], database, partitions=2)
+    assert rows(spark.table(f"{database}.t")) == rows(df)
+
+
+# --- Bloom filters ------------------------------------------------------------------------------
+
+
+def scanned(df):
+    """Rows that the scan handed on, once the frame was run."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+    found = []
+    waiting = [plan.executedPlan() if "Adaptive" in plan.getClass().getSimpleName() else plan]
+    while waiting:
+        node = waiting.pop()
+        if "QueryStage" in node.getClass().getSimpleName():
+            node = node.plan()
+        if "FileSourceScan" in node.getClass().getSimpleName():
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
+    return sum(found)
+
+
+def test_row_groups_without_the_value_are_skipped(spark, database):
+    # Names spread over all files, each file's range covering all, and too many for a dictionary.
+    name = F.concat(F.lit("customer "), F.sha2(F.col("id").cast("string"), 256))
+    df = spark.range(0, 60_000, 1, 8).select("id", name.alias("Customer_Name"))
+    df = df.withColumn("more", F.repeat(F.sha2(F.col("Customer_Name"), 512), 2))
+    overwrite_clustered(df, "b", "id", database, partitions=12, bloom=["Customer_Name"])
+    overwrite_clustered(df, "p", "id", database, partitions=12)
+    wanted = df.filter("id = 31234").first().Customer_Name
+    with_filter = spark.table(f"{database}.b").filter(F.col("Customer_Name") == wanted)
+    without = spark.table(f"{database}.p").filter(F.col("Customer_Name") == wanted)
+    assert rows(with_filter) == rows(without) and with_filter.count() == 1
+    assert scanned(without) > 50_000
+    assert scanned(with_filter) < 15_000
+    missing = spark.table(f"{database}.b").filter(F.col("Customer_Name") == wanted + "x")
+    assert scanned(missing) < 10_000 and missing.count() == 0
+
+
+# --- reports by grouping sets ---------------------------------------------------------------------
+
+
+def test_each_slice_equals_its_report(spark):
+    lines = [(2019, "c", "s", "A", 1.5), (2019, "c", "s", None, 2.0), (None, "c", "t", "A", 4.25), (None, None, None, None, 0.1), (2020, "d", "s", "B", -3.0)]
+    agg = spark.createDataFrame(lines * 3, ddl(GOLD_PROFIT_AGG))
+    for source in (agg, catalog.profit_lines(spark, SF_DIR)):
+        reports = profit.profit_reports(source).cache()
+        for name in profit.REPORTS:
+            assert rows(profit.report_slice(reports, name)) == rows(getattr(profit, name)(source)), name
+        assert rows(reports.groupBy("report").count()).keys() == {(n, reports.filter(F.col("report") == n).count()) for n in profit.REPORTS}
+        reports.unpersist()
+    empty = profit.profit_reports(agg.limit(0))
+    assert empty.collect() == [] and empty.columns == ["report", "Year", "Customer_Name", "Category", "Profit"]
+
+
+def test_reports_take_one_shuffle(spark, capsys):
+    profit.profit_reports(spark.createDataFrame([], ddl(GOLD_PROFIT_AGG))).explain()
+    assert capsys.readouterr().out.count("Exchange") <= 1
+    profit.profit_reports(spark.range(9).selectExpr("int(id) Year", "'c' Category", "'s' Sub_Category", "'n' Customer_Name", "1.0D Profit")).explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning") == 1
+
+
+# --- profiles -----------------------------------------------------------------------------------------
+
+KINDS = {"t": "string", "i": "int", "d": "date", "x": "double", "b": "bigint"}
+
+
+def sample(spark, n=20_000, seed=1):
+    draw = random.Random(seed)
+    values = [
+        (
+            draw.choice([None, "", "abc", "Ä" * 7, f"v{int(draw.expovariate(0.002))}"]),
+            draw.choice(["12", "-3", "x1", "1.5", None, str(draw.randrange(5000))]),
+            draw.choice(["1/2/2020", "31/2/2017", "2016-08-21", None, f"{draw.randrange(1, 28)}/{draw.randrange(1, 13)}/2019"]),
+            draw.choice([None, 0.5, draw.gauss(100, 30)]),
+            draw.choice([None, draw.randrange(10**12)]),
+        )
+        for _ in range(n)
+    ]
+    return values, spark.createDataFrame(values, "t string, i string, d string, x double, b bigint")
+
+
+def test_exact_part(spark):
+    values, df = sample(spark, 500)
+    found = {r.column_name: r for r in prof.column_profile(df, KINDS).collect()}
+    assert list(found) == list(KINDS) and all(r.n == 500 for r in found.values())
+    for at, name in enumerate(KINDS):
+        assert found[name].n_null == sum(v[at] is None for v in values)
+    bad = [v[1] for v in values if v[1] in ("x1", "1.5")]
+    assert (found["i"].n_failed, found["i"].smallest_failed) == (len(bad), min(bad))
+    assert found["d"].n_failed == sum(v[2] in ("31/2/2017", "2016-08-21") for v in values)
+    assert found["d"].smallest_failed == "2016-08-21"
+    lengths = [len(v[0]) for v in values if v[0] is not None]
+    assert (found["t"].least, found["t"].greatest) == (min(lengths), max(lengths))
+    numbers = [v[3] for v in values if v[3] is not None]
+    assert (found["x"].least, found["x"].greatest, found["x"].n_failed) == (min(numbers), max(numbers), 0)
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_sketches_within_their_bounds_also_merged(spark, parts):
+    values, df = sample(spark)
+    whole = prof.column_profile(df, KINDS)
+    if parts > 1:
+        pieces = [prof.column_profile(df.filter(F.pmod(F.xxhash64("b", "x", "t", "i", "d"), F.lit(parts)) == i), KINDS) for i in range(parts)]
+        merged = pieces[0]
+        for piece in pieces[1:]:
+            merged = merged.unionByName(piece)
+        exact = rows(whole.select(*prof.EXACT))
+        whole = prof.merged(merged)
+        assert rows(whole.select(*prof.EXACT)) == exact
+    found = {r.column_name: r for r in prof.estimates(whole).collect()}
+    for at, name in enumerate(KINDS):
+        present = [v[at] for v in values if v[at] is not None]
+        assert abs(found[name].n_distinct - len(set(present))) <= max(1, 0.03 * len(set(present))), name
+        counts = Counter(v[at] for v in values)
+        for item in found[name].most_frequent[:2]:
+            true = sum(n for v, n in counts.items() if (None if v is None else str(v)) == item.item)
+            assert abs(item["count"] - true) <= len(values) / prof.TRACKED * 2 or name in "xb", name
+    for at, name in ((3, "x"), (4, "b")):
+        present = sorted(float(v[at]) for v in values if v[at] is not None)
+        for share, value in zip((0.25, 0.5, 0.75), found[name].quartiles):
+            low, high = bisect.bisect_left(present, value), bisect.bisect_right(present, value)
+            assert low / len(present) - 0.03 <= share <= high / len(present) + 0.03
+
+
+def test_profile_of_nothing(spark):
+    _, df = sample(spark, 1)
+    empty = prof.estimates(prof.column_profile(df.limit(0), KINDS)).collect()
+    assert [(r.column_name, r.n, r.n_null, r.n_failed, r.least, r.quartiles, r.n_distinct) for r in empty] == [(c, 0, 0, 0, None, None, 0) for c in KINDS]
+    nulls = spark.createDataFrame([(None,) * 5] * 3, df.schema)
+    found = prof.estimates(prof.column_profile(nulls, KINDS)).collect()
+    assert {(r.n, r.n_null, r.n_failed, r.quartiles) for r in found} == {(3, 3, 0, None)}
+
+
+def test_one_pass(spark, capsys):
+    _, df = sample(spark, 5)
+    prof.column_profile(df, KINDS).explain()
+    assert capsys.readouterr().out.count("Scan") == 1
