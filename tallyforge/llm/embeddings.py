@@ -280,24 +280,27 @@ def near_vectors(
         rows = rows.withColumn("embedding", F.col("embedding").cast("array<double>"))
     rows = rows.withColumn("_usable", usable(F.col("embedding")) & F.col("vec_id").isNotNull())
     good = rows.filter("_usable")
-    classes = good.groupBy("embedding").agg(
-        F.min("vec_id").cast("bigint").alias("class"), F.count("*").alias("size")
-    )
-    classes = stored(classes)
+    # A class of equal vectors has a number of its own, written before it is used, as rows of one
+    # id may hold different vectors.
+    classes = good.groupBy("embedding").agg(F.min("vec_id").cast("bigint").alias("low"), F.count("*").alias("size"))
+    classes = stored(classes.withColumn("class", F.monotonically_increasing_id()))
     tables = calibrated(max(1, classes.count()), threshold, recall, min_count)
     found = stored(near_links(classes, tables, threshold, min_count, block_rows))
     numbers = found.groupBy("class").agg(F.sum("links").alias("links"))
     parts = connected_components(found.select(F.col("class").alias("a"), F.col("to").alias("b")))
-    labels = (
+    labels = stored(
         classes.join(numbers, "class", "left")
         .join(parts.withColumnRenamed("node", "class"), "class", "left")
         .select(
             F.col("embedding").alias("_vector"),
             (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
-            F.coalesce("component", "class").alias("component_id"),
+            F.coalesce("component", "class").alias("_component"),
+            "low",
         )
     )
-    linked = good.join(stored(labels), F.col("embedding") == F.col("_vector"))
+    lows = stored(labels.groupBy("_component").agg(F.min("low").alias("component_id")))
+    labels = stored(labels.drop("low").join(lows, "_component"))
+    linked = good.join(labels, F.col("embedding") == F.col("_vector"))
     linked = linked.select("vec_id", "n_links", "component_id")
     alone = rows.filter(~F.col("_usable")).select(
         "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").cast("bigint").alias("component_id")

@@ -86,6 +86,20 @@ def test_many_near_copies_and_doubles(spark):
     assert {r.component_id for r in found} == {0}
 
 
+def test_rows_that_repeat_an_id(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (2, [1.0, 0.01, 0.0]), (3, [0.0, 0.0, 1.0]), (3, [0.0, 0.0, 1.0]), (0, [0.0, 0.01, 1.0])]
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    found = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in near_vectors(frame).collect())
+    assert found == [(0, 2, 0, True), (1, 0, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 2, 0, False), (3, 2, 0, False)]
+
+
+def test_clashing_names(spark):
+    extra = "class int, size int, low int, tab int, part string, links int, component string, _vector int, _usable int"
+    rows = [(i, [1.0, i / 100], 1, 2, 3, 4, "p", 5, "c", 6, 7) for i in range(4)]
+    found = near_vectors(spark.createDataFrame(rows, f"vec_id bigint, embedding array<float>, {extra}")).collect()
+    assert sorted(tuple(r) for r in found) == [(0, 3, 0, True), (1, 3, 0, False), (2, 3, 0, False), (3, 3, 0, False)]
+
+
 def test_special_tables(spark):
     assert near_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
     odd = spark.createDataFrame([(None, [1.0, 2.0], 1), (2, None, 1)], SCHEMA)
