@@ -7,15 +7,17 @@ archives of about ``ARCHIVE_BYTES`` bytes, one file each, so a reading task hold
 
 Reading: an archive is walked record by record. A member must decompress with a correct
 checksum, and a record must have its version line, a length that ends at the two line ends, and
-the digests it states. After a failed check the reader searches for the next valid member, or in
-uncompressed archives the next valid version line, goes on there, and returns the bytes between
-as a quarantined gap with its reason.
+the digests it states. After a failed check, at whatever place, the reader searches for the next
+valid member or version line, goes on there, and returns the bytes between as a quarantined gap
+with its reason. Nothing about an archive is told from its name or its first bytes.
 
 Results for special rows: a null payload counts as empty. Pages that repeat an id and a payload
 are records of their own with the same type. A null id is smaller than any other; a page that
 refers to one has a null ``refers_to``. Control characters in addresses are percent-encoded. An
 empty table gives no archive and an empty result, and an empty archive no records. Other columns
-are ignored, whatever their names.
+are ignored, whatever their names. A page of any length is one record, and the archive it ends is
+that much longer. A reading task holds one archive and the member it unpacks, and Spark reads none
+of over 2 GB; damage inside a member of many records costs those behind it in that member.
 """
 
 from __future__ import annotations
@@ -44,6 +46,7 @@ VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 TRAILER = b"\r\n\r\n"
 GZIP_MAGIC = b"\x1f\x8b\x08"
+BEGINS = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
 REQUIRED = {"warc-type", "warc-record-id", "warc-date", "content-length"}
 #: The one field that a record may have more than once; its values are a list.
 REPEATED = "warc-concurrent-to"
@@ -232,33 +235,40 @@ def unpacked(data: bytes, at: int) -> tuple[bytes | None, int, str]:
     return b"".join(made), min(upto, len(data)) - len(stream.unused_data), ""
 
 
-def member_records(data: bytes) -> Iterator[Found]:
-    """Records of an archive of gzip members. A gap is counted in bytes of the archive; where a
-    whole member is sound and a record in it is not, the gap is that member."""
-    at = 0
-    while at < len(data):
+def at_place(data: bytes, at: int) -> tuple[list[Found], int, str]:
+    """What begins at ``at``, a member with its records or a plain record, and its size, or why
+    there is nothing."""
+    if data.startswith(GZIP_MAGIC, at):
         content, end, reason = unpacked(data, at)
-        begin = at
-        while content is None:
-            at = data.find(GZIP_MAGIC, at + 1)
-            if at < 0:
-                at = len(data)
-                break
-            content, end, _ = unpacked(data, at)
-            if content and not content.startswith(b"WARC/"):
-                content = None
-        if at > begin:
-            yield Found(begin, at - begin, {}, b"", reason)
-        if content is not None:
-            for found in plain_records(content):
-                yield found._replace(offset=at, size=end - at)
-            at = end
+        if content is None:
+            return [], 0, reason
+        return [f._replace(offset=at, size=end - at) for f in plain_records(content)], end - at, ""
+    found, reason = parse(data, at)
+    return ([found], found.size, "") if found else ([], 0, reason)
 
 
 def records_of(data: bytes) -> Iterator[Found]:
-    packed = data.find(GZIP_MAGIC, 0, 4096)
-    plain = data.find(b"WARC/1.", 0, 4096)
-    return member_records(data) if packed >= 0 and (plain < 0 or packed < plain) else plain_records(data)
+    """Records of an archive, of gzip members or plain or both, and the gaps between valid ones.
+
+    After a failed check every later place where a member or a version line may begin is tried,
+    and the first that holds a valid record, or is an empty member, ends the gap. A gap is counted
+    in bytes of the archive; where a whole member is sound and a record in it is not, the gap is
+    that member.
+    """
+    at = 0
+    while at < len(data):
+        found, size, reason = at_place(data, at)
+        if not size:
+            begin, at = at, len(data)
+            for place in BEGINS.finditer(data, begin + 1):
+                found, size, _ = at_place(data, place.start())
+                if size and (not found or any(not f.reason for f in found)):
+                    at = place.start()
+                    break
+                found, size = [], 0
+            yield Found(begin, at - begin, {}, b"", reason)
+        yield from found
+        at += size
 
 
 def described(archive: str, found: Found) -> dict:

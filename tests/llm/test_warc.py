@@ -103,6 +103,56 @@ def test_every_byte_is_read_or_quarantined(compressed):
                 assert warc.payload_of(f.block) in [f"page {i} ".encode() * (30 + i) for i in range(12)]
 
 
+def long_archive(compressed, count=12, size=9000):
+    made = [warc.record(i, f"http://x/{i}", random.Random(i).randbytes(size), False, None) for i in range(count)]
+    made = [warc.member(m) for m in made] if compressed else made
+    starts = [sum(map(len, made[:i])) for i in range(count + 1)]
+    return b"".join(made), starts
+
+
+@pytest.mark.parametrize("compressed", [True, False])
+@pytest.mark.parametrize("zeroed", [1, 100, 4000, 5000, 20_000])
+def test_damage_at_the_beginning(compressed, zeroed):
+    data, starts = long_archive(compressed)
+    hurt = sum(s < zeroed for s in starts)
+    ids, gaps = walk(bytes(zeroed) + data[zeroed:])
+    assert ids == list(range(hurt, 12)) and gaps == [(0, starts[hurt])]
+
+
+@pytest.mark.parametrize("compressed", [True, False])
+@pytest.mark.parametrize("size", [1, 5000, 70_000])
+def test_junk_before_between_and_behind(compressed, size):
+    data, starts = long_archive(compressed)
+    junk = random.Random(size).randbytes(size)
+    ids, gaps = walk(junk + data[: starts[5]] + junk + data[starts[5] :] + junk)
+    assert ids == list(range(12))
+    assert gaps == [(0, size), (size + starts[5], size), (2 * size + starts[12], size)]
+
+
+def test_both_forms_in_one_archive():
+    packed, _ = long_archive(True, 4)
+    plain, _ = long_archive(False, 4)
+    assert walk(packed + plain + packed) == ([0, 1, 2, 3] * 3, [])
+    ids, gaps = walk(packed[:-1] + b"?" + plain[1:] + packed)
+    assert ids == [0, 1, 2, 1, 2, 3, 0, 1, 2, 3] and len(gaps) == 1
+
+
+def test_members_inside_payloads_are_no_records():
+    inner = warc.member(b"not a record") + warc.member(b"")[:4]
+    made = [warc.record(i, "http://x", inner * 20, False, None) for i in range(3)]
+    assert walk(b"".join(made)) == ([0, 1, 2], [])
+    cut = b"".join(made)[5:]
+    assert walk(cut) == ([1, 2], [(0, len(made[0]) - 5)])
+
+
+def test_very_long_page():
+    page = random.Random(1).randbytes(30_000_000)
+    made = [warc.record(0, "a", page, False, None), warc.record(1, "b", b"x" * 50_000_000, False, None)]
+    for data in (b"".join(made), b"".join(map(warc.member, made))):
+        assert [len(warc.payload_of(f.block)) for f in warc.records_of(data)] == [30_000_000, 50_000_000]
+        assert walk(b"\0" * 10 + data[10:])[0] == [1]
+
+
 def test_whole_file_compression_and_gaps_in_a_table(spark, tmp_path):
     plain, starts = archive(False)
     damaged = bytearray(plain)
