@@ -53,6 +53,12 @@ def only_kept(docs: DataFrame, kept: DataFrame) -> DataFrame:
     return joined.groupBy("_key").agg(F.min_by("_row", "_rank").alias("_row")).select("_row.*")
 
 
+def each_copy(rows: DataFrame) -> DataFrame:
+    """As many rows as ``copies`` says instead of each, without that column."""
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
+    return rows.withColumn("copies", copies).drop("copies")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component``, the smallest node reachable, for every node of ``edges``.
 

@@ -10,9 +10,11 @@ the data are partitioned; the later ones are integers that number the sorted, di
 and are written before they are used. The text itself is shuffled for the first naming only.
 
 Results for special rows: a null text counts as empty, and empty texts equal one another. Rows
-that repeat both id and text are one document, and count each in the size of its group. Rows
-with one id and different texts are separate documents. A null id is smaller than any other.
-An empty table gives an empty result. Other columns are ignored, whatever their names.
+that repeat both id and text are named as one document, count each in the size of its group, and
+are a row of the result each; the stage keeps one. Rows with one id and different texts are
+separate documents. A null id is smaller than any other. A very long text is read as blocks from
+its row, which a task holds whole, and no later step has more of it than a block. An empty table
+gives an empty result. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyforge.llm.common import only_kept, stored, text_key, texts_of
+from tallyforge.llm.common import each_copy, only_kept, stored, text_key, texts_of
 
 BLOCK_BYTES = 4096
 
@@ -118,10 +120,15 @@ def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 
 def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256`` and ``text_key``.
+    """``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256`` and ``text_key`` of every row.
 
     Of documents with equal texts the one with the largest id stays.
     """
+    return each_copy(distinct_duplicates(docs, block_bytes))
+
+
+def distinct_duplicates(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """The same for each distinct (id, text), with ``copies``, the rows it stands for."""
     rows = stored(identities(docs, block_bytes))
     groups = rows.groupBy(F.col("blocks").alias("_blocks"), F.col("name").alias("_name")).agg(
         F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")
@@ -135,6 +142,7 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
         kept(F.col("doc_id"), F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
         "text_key",
+        "copies",
     )
 
 
@@ -144,4 +152,4 @@ def kept(doc_id: Column, keep_id: Column) -> Column:
 
 def drop_exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with one document of each group of equal texts, columns unchanged."""
-    return only_kept(docs, exact_duplicates(docs, block_bytes).filter("kept"))
+    return only_kept(docs, distinct_duplicates(docs, block_bytes).filter("kept"))

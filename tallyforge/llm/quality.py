@@ -179,6 +179,25 @@ def with_score(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(batches, f"doc_id {kind}, text_key bigint, score double")
 
 
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
+    """The rows of ``docs`` whose score reaches the threshold, as they are and where they are: the
+    rows are not shuffled, and those that repeat others stay or go together."""
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(fit(docs, labels, **options)))
+    text = docs.columns.index("text")
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Model(*shared.value)
+        pair = compressors(known.good, known.bad)
+        for batch in source:
+            texts = batch.column(text).cast(pa.large_binary())
+            x = np.array([difference(t.as_py() or b"", pair) for t in texts], dtype=np.float64)
+            yield batch.filter(pa.array(np.interp(x, known.at, known.score) >= threshold))
+
+    # By number meanwhile, as a function cannot be applied to columns of any name.
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return numbered.mapInArrow(batches, numbered.schema).toDF(*docs.columns)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted`` and ``text_key`` of every row."""
     scored = with_score(docs, fit(docs, labels, **options))

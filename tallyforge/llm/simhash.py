@@ -8,10 +8,11 @@ a word. A query's differences are added plane by plane into carry-save counters,
 at a time, and a word whose distances have all passed the limit is abandoned.
 
 Results for special rows: a null text counts as empty, and a text without words has fingerprint
-zero, which links like any other. Rows that repeat both id and text are one document. Rows with
-one id and different texts are separate documents. A null id takes part but never names a
-component while the component has another id. An empty table gives an empty result. Other
-columns are ignored, whatever their names.
+zero, which links like any other. Rows that repeat both id and text are a row of the result each;
+the stage keeps one. Rows with one id and different texts are separate documents. A null id takes
+part but never names a component while the component has another id. A very long text is hashed
+in slices of its shingles; a task holds the text, its words and their places. An empty table gives
+an empty result. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.common import (
     connected_components,
+    each_copy,
     grouped,
     in_blocks,
     local_roots,
@@ -248,13 +250,26 @@ def near_duplicates(
     chosen: int = CHOSEN,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id``, ``text_key`` and ``kept``.
+    """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id``, ``text_key`` and ``kept`` of
+    every row.
 
     ``component_id`` is the smallest ``doc_id`` reachable over links. ``kept`` marks one document
     of each component, the one it is named after (of several texts with that id, the one with
-    the smallest key).
+    the smallest key), and all rows that repeat it.
     """
-    prints = stored(with_fingerprints(docs, shingle_words).distinct())
+    return each_copy(distinct_near_duplicates(docs, shingle_words, max_bits, chosen, block_rows))
+
+
+def distinct_near_duplicates(
+    docs: DataFrame,
+    shingle_words: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+    chosen: int = CHOSEN,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """The same for each distinct (id, text), with ``copies``, the rows it stands for."""
+    rows = with_fingerprints(docs, shingle_words)
+    prints = stored(rows.groupBy(*rows.columns).agg(F.count("*").alias("copies")))
     first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_key")))
     unnamed = F.min(F.when(F.col("doc_id").isNull(), F.struct("doc_id", "text_key")))
     distinct = stored(prints.groupBy("fp").agg(F.coalesce(first, unnamed).alias("low")))
@@ -275,6 +290,7 @@ def near_duplicates(
         F.col("lowest.doc_id").alias("component_id"),
         "text_key",
         own.eqNullSafe(F.col("lowest")).alias("kept"),
+        "copies",
     )
 
 
@@ -284,4 +300,4 @@ def hex_digits(bits: Column) -> Column:
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each component, columns unchanged."""
-    return only_kept(docs, near_duplicates(docs, **options).filter("kept"))
+    return only_kept(docs, distinct_near_duplicates(docs, **options).filter("kept"))
