@@ -8,20 +8,17 @@ Parquet and read back.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tallyforge.llm.common import only_kept, stored
+from tallyforge.llm.common import stored
 from tallyforge.llm.exact_dedup import drop_exact_duplicates
 from tallyforge.llm.packing import pack
-from tallyforge.llm.quality import quality_scores
+from tallyforge.llm.quality import accepted
 from tallyforge.llm.simhash import drop_near_duplicates
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the compression classifier accepts. Rows that repeat id and text become one."""
-    scores = quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    kept = scores.filter(F.col("predicted") == 1)
-    return only_kept(docs, kept)
+    """Documents the compression classifier accepts, every row of them."""
+    return accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
