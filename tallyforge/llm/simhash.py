@@ -41,8 +41,8 @@ from tallyforge.llm.common import (
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
-#: Pieces that agree in a bucket. One more makes buckets 2^10 times smaller and tables more.
-CHOSEN = 2
+#: Unrelated fingerprints wanted in a bucket.
+BUCKET_ROWS = 64
 #: Rows of a block; a bucket with more is compared block by block.
 BLOCK_ROWS = 4096
 SLAB_ROWS = 65_536
@@ -104,6 +104,15 @@ def piece_masks(max_bits: int, chosen: int) -> list[int]:
     return [sum(choice) for choice in combinations(masks, chosen)]
 
 
+def pieces_to_agree(prints: int, max_bits: int) -> int:
+    """Fewest pieces to join on that leave about ``BUCKET_ROWS`` unrelated fingerprints in a
+    bucket: more pieces make smaller buckets and more tables, and the links are the same."""
+    chosen = 1
+    while prints / 2.0 ** (64 * chosen / (max_bits + chosen)) > BUCKET_ROWS:
+        chosen += 1
+    return chosen
+
+
 def signed(bits: int) -> int:
     return bits - (1 << 64) if bits >> 63 else bits
 
@@ -204,13 +213,15 @@ def spanning_links(
 
 
 def links(
-    prints: DataFrame, max_bits: int = MAX_BITS, chosen: int = CHOSEN, block_rows: int = BLOCK_ROWS
+    prints: DataFrame, max_bits: int = MAX_BITS, chosen: int | None = None, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Links ``a``, ``b`` between distinct fingerprints ``fp`` that join everything within reach.
 
+    ``chosen`` pieces agree in a bucket, by default as many as the number of fingerprints asks for.
     Inside a bucket only as many links are given as it takes to connect what is close, so a
     group of n close fingerprints gives n - 1 links per bucket and not a link per pair.
     """
+    chosen = chosen or pieces_to_agree(prints.count(), max_bits)
     tables = F.array(
         *[
             F.struct(F.lit(t).alias("bucket"), F.col("fp").bitwiseAND(F.lit(signed(mask))).alias("bits"))
@@ -247,7 +258,7 @@ def near_duplicates(
     docs: DataFrame,
     shingle_words: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
-    chosen: int = CHOSEN,
+    chosen: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id``, ``text_key`` and ``kept`` of
@@ -264,7 +275,7 @@ def distinct_near_duplicates(
     docs: DataFrame,
     shingle_words: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
-    chosen: int = CHOSEN,
+    chosen: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The same for each distinct (id, text), with ``copies``, the rows it stands for."""
