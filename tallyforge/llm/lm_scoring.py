@@ -11,12 +11,18 @@ table. The totals go back to the batches that asked, where they are joined to th
 their places and summed per document. Between the steps n-grams travel as packed arrays, sorted
 and stored as differences, one row for each batch and partition.
 
+An n-gram stands for itself by a 64-bit hash. Of D distinct n-grams about D / 2^64 of each share
+theirs with another and are counted together: one in 10^7 at 10^12 of them.
+
 Words are the runs between ASCII white space, with A-Z in lower case. N-grams do not reach over
 the beginning of a document: its first tokens start at the order their words allow.
 
 Results for special rows: a null text counts as empty. A text without words has no tokens, a sum
-of zero and a null mean. Repeated rows are scored, and counted, each. A null id is scored like
-any other. An empty table gives an empty result. Other columns are ignored, whatever their names.
+of zero and a null mean. Repeated rows are scored, and counted, each, in batches that their place
+in the input decides along with id and text, so that copies of one row are dealt out too. A null
+id is scored like any other. A very long text makes its batch as much longer; a task holds the
+hashes of a batch's n-grams, some 100 bytes a word. An empty table gives an empty result. Other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.common import texts_of
 
-ORDER = 2
+ORDER = 3
 BACKOFF = 0.4
 MIN_COUNT = 2
 BATCH_BYTES = 8_000_000
@@ -214,7 +220,8 @@ def lm_scores(
     size = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     parts = max(1, math.ceil(size / batch_bytes))
     kind = dict(rows.dtypes)["doc_id"]
-    batch = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("bigint")
+    # The rows are dealt once, both steps read the same shuffle of them.
+    batch = F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.lit(parts)).cast("bigint")
     batches = rows.withColumn("batch", batch)
     answers = totals(requests(batches, parts, order))
     return scores(batches, answers, order, min_count, kind)

@@ -23,26 +23,35 @@ WITH docs AS (
 ), tokens AS (
     SELECT r, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM docs
 ), grams AS (
-    SELECT r, w, lag(w) OVER (PARTITION BY r ORDER BY i) AS p FROM tokens
+    SELECT r, w, lag(w) OVER line AS p, lag(w, 2) OVER line AS q
+    FROM tokens
+    WINDOW line AS (PARTITION BY r ORDER BY i)
 ), ones AS (
     SELECT w, count(*) AS n FROM tokens GROUP BY w
 ), twos AS (
     SELECT p, w, count(*) AS n FROM grams WHERE p IS NOT NULL GROUP BY p, w
+), threes AS (
+    SELECT q, p, w, count(*) AS n FROM grams WHERE q IS NOT NULL GROUP BY q, p, w
 ), scored AS (
     SELECT g.r,
-           CASE WHEN g.p IS NULL THEN ln(one.n / total.n)
+           CASE WHEN three.n >= 2 THEN ln(three.n / wide.n)
                 WHEN two.n >= 2 THEN ln(two.n / context.n)
-                ELSE ln(0.4) + ln(one.n / total.n) END AS score,
-           g.p IS NOT NULL AND two.n < 2 AS backed
+                ELSE ln(one.n / total.n) END
+           + ln(0.4) * (CASE WHEN three.n < 2 THEN 1 ELSE 0 END)
+           + ln(0.4) * (CASE WHEN coalesce(three.n, 1) < 2 AND two.n < 2 THEN 1 ELSE 0 END) AS score,
+           CASE WHEN three.n < 2 THEN 1 ELSE 0 END
+           + CASE WHEN coalesce(three.n, 1) < 2 AND two.n < 2 THEN 1 ELSE 0 END AS backs
     FROM grams g
     JOIN ones one ON one.w = g.w
     LEFT JOIN ones context ON context.w = g.p
     LEFT JOIN twos two ON two.p = g.p AND two.w = g.w
+    LEFT JOIN twos wide ON wide.p = g.q AND wide.w = g.p
+    LEFT JOIN threes three ON three.q = g.q AND three.p = g.p AND three.w = g.w
     CROSS JOIN (SELECT count(*) AS n FROM tokens) total
 )
 SELECT doc_id,
        count(score) AS n_tokens,
-       count(*) FILTER (WHERE backed) AS n_backoffs,
+       coalesce(sum(backs), 0)::BIGINT AS n_backoffs,
        round(coalesce(sum(score), 0.0), 6) AS log_score,
        round(avg(score), 6) AS mean_log_score
 FROM docs LEFT JOIN scored USING (r)

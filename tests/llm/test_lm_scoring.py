@@ -38,6 +38,20 @@ def test_equals_brute_force(spark, order, min_count, batch_bytes):
     assert sorted(found, key=str) == brute(rows, order, min_count)
 
 
+def test_copies_of_one_row_are_dealt_out(spark):
+    rows = [(1, "a b c a b c a b")] * 300 + [(2, "x y z")]
+    docs = documents(spark, rows).repartition(4)
+    found = lm_scores(docs, 3, 2, 200).collect()
+    assert len(found) == 301 and len({(r.doc_id, round(r.log_score, 9)) for r in found}) == 2
+    assert sorted((r.doc_id, r.n_tokens, r.n_backoffs, round(r.log_score, 6), round(r.mean_log_score, 6)) for r in found) == sorted(brute(rows, 3, 2))
+
+
+def test_very_long_text(spark):
+    rows = [(1, " ".join(f"w{i % 91}" for i in range(200_000))), (2, "w1 w2 w3")]
+    found = sorted((r.doc_id, r.n_tokens, r.n_backoffs, round(r.log_score, 6)) for r in lm_scores(documents(spark, rows)).collect())
+    assert found == sorted(b[:4] for b in brute(rows, 3, 2))
+
+
 def test_packed_arrays():
     values = np.sort(np.random.default_rng(0).integers(0, 1 << 64, 1000, dtype=np.uint64, endpoint=False))
     assert np.array_equal(unpack_sorted(pack_sorted(values)), values)
