@@ -104,11 +104,11 @@ def piece_masks(max_bits: int, chosen: int) -> list[int]:
     return [sum(choice) for choice in combinations(masks, chosen)]
 
 
-def pieces_to_agree(prints: int, max_bits: int) -> int:
-    """Fewest pieces to join on that leave about ``BUCKET_ROWS`` unrelated fingerprints in a
+def pieces_to_agree(prints: int, max_bits: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Fewest pieces to join on that leave about ``bucket_rows`` unrelated fingerprints in a
     bucket: more pieces make smaller buckets and more tables, and the links are the same."""
     chosen = 1
-    while prints / 2.0 ** (64 * chosen / (max_bits + chosen)) > BUCKET_ROWS:
+    while prints / 2.0 ** (64 * chosen / (max_bits + chosen)) > bucket_rows:
         chosen += 1
     return chosen
 
