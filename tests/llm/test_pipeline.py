@@ -1,8 +1,12 @@
+from collections import Counter
+
 import corpus_pipeline
 import pytest
-from llm_rows import documents, prose, special_rows
+from llm_rows import components, documents, prose, special_rows
+from test_simhash import plain_fingerprint
 
 from tallyforge.llm.common import connected_components
+from tallyforge.llm.quality import quality_scores
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +36,38 @@ def test_stages_in_order(spark, folder):
     assert len(bad) <= 10 and sum(bool(r.doc_id) and 1000 <= r.doc_id < 2000 for r in seen.collect()) >= 190
 
 
+def test_stages_equal_brute_force(spark, folder):
+    """Each stage against plain code over what the one before kept."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    quality, exact, near = (stage for _, stage in corpus_pipeline.STAGES[:3])
+
+    def pairs(df):
+        return [(r.doc_id, r.text) for r in df.collect()]
+
+    kept = quality(spark, docs, folder)
+    good = {(r.doc_id, r.text_key) for r in quality_scores(docs, labels).filter("score >= 0.3").collect()}
+    keyed = docs.selectExpr("doc_id", "text", "xxhash64(coalesce(text, '')) AS k").collect()
+    assert Counter(pairs(kept)) == Counter((r.doc_id, r.text) for r in keyed if (r.doc_id, r.k) in good)
+
+    seen, kept = pairs(kept), exact(spark, kept, folder)
+    by_text = {}
+    for i, t in seen:
+        by_text.setdefault(t or "", []).append(i)
+    largest = {t: max((i for i in ids if i is not None), default=None) for t, ids in by_text.items()}
+    assert Counter((i, t or "") for i, t in pairs(kept)) == Counter((i, t) for t, i in largest.items())
+    assert len(largest) < len(seen)
+
+    seen, kept = pairs(kept), near(spark, kept, folder)
+    prints = [plain_fingerprint(t or "") for _, t in seen]
+    low = components(range(len(seen)), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 4)
+    names = {}
+    for n, (i, _) in enumerate(seen):
+        names.setdefault(low[n], []).append(i)
+    first = [min((i for i in ids if i is not None), default=None) for ids in names.values()]
+    assert Counter(i for i, _ in pairs(kept)) == Counter(first) and len(first) < len(seen)
+
+
 def test_run_packs_what_the_stages_keep(spark, folder):
     packed = corpus_pipeline.run(spark, folder)
     docs = spark.read.parquet(f"{folder}/documents.parquet")
