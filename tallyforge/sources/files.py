@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tallyforge.schemas import CUSTOMERS, ORDERS_FILE, PRODUCTS, ddl
 from tallyforge.sources.heads import (
-    FILES_A_TASK,
     LINES,
     NEITHER,
     UNREAD,
@@ -50,9 +49,7 @@ def order_forms(spark: SparkSession, path: str) -> tuple[dict[str, int], DataFra
     Tasks open the files and read their first lines; only where they cannot does Spark's own
     reader go through the files.
     """
-    files = list_files(spark, path).select("path")
-    parallel = spark.sparkContext.defaultParallelism
-    found = forms(files.repartition(max(parallel, len(files.inputFiles()) // FILES_A_TASK)))
+    found = forms(list_files(spark, path).select("path"))  # some dozens of files to a task
     counts = _counts(found)
     if UNREAD in counts:
         found = forms_by_scan(spark, path)

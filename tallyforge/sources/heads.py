@@ -15,8 +15,6 @@ WHOLE, LINES, EMPTY, NEITHER, UNREAD = "whole", "lines", "empty", "neither", "un
 BLANK = b" \t\r\x0b\x0c"
 BOM = b"\xef\xbb\xbf"
 CHUNK = 1 << 16
-#: Files that one task opens.
-FILES_A_TASK = 64
 
 
 def list_files(spark: SparkSession, *paths: str) -> DataFrame:
