@@ -15,6 +15,8 @@ WHOLE, LINES, EMPTY, NEITHER, UNREAD = "whole", "lines", "empty", "neither", "un
 BLANK = b" \t\r\x0b\x0c"
 BOM = b"\xef\xbb\xbf"
 CHUNK = 1 << 16
+#: Compressed files that are read to their end before they are loaded; see ``damaged``.
+PROBED = (".gz", ".bz2")
 
 
 def list_files(spark: SparkSession, *paths: str) -> DataFrame:
@@ -98,6 +100,31 @@ def forms(files: DataFrame) -> DataFrame:
     return files.mapInArrow(batches, ", ".join(f"{n} {t}" for n, t in [*files.dtypes, ("form", "string")]))
 
 
+def damaged(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Those of the compressed files that cannot be decompressed to their end, or not be opened here.
+
+    Decompressing takes a small part of what parsing takes. Tasks hold a chunk of a file at a time.
+    """
+    probed = [(p,) for p in paths if p.lower().endswith(PROBED)]
+    if not probed:
+        return set()
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            broken = []
+            for path in batch.column("path").to_pylist():
+                try:
+                    for _ in chunks_of(path):
+                        pass
+                except (OSError, ValueError, NotImplementedError):
+                    broken.append(path)
+            yield pa.record_batch([pa.array(broken, pa.string())], names=["path"])
+
+    tasks = min(len(probed), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    files = spark.createDataFrame(probed, "path string").repartition(tasks)
+    return {row.path for row in files.mapInArrow(batches, "path string").collect()}
+
+
 def forms_by_scan(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``path`` and ``form`` of the files at ``path`` through Spark's own reader, which reads all of
     every file, for those whose heads cannot be read."""

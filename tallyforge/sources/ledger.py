@@ -3,8 +3,9 @@
 A bronze table that is loaded this way is a view on a folder with one partition per load. A ledger
 beside it has a row for every file a load took: path, length, time of modification, and what
 became of it. The next load lists the files and takes those the ledger does not have as they
-are now. A file that cannot be read costs its own rows only: the files of a load are written
-together, and where that fails the group is cut until the file is found. Rows are seen once the
+are now. A file that cannot be read costs its own rows only: compressed files that break off are
+found beforehand and written apart, the others of a load are written together, and where that
+fails the group is cut until the file is found. Rows are seen once the
 load is complete, by one change of the catalog; what an interrupted load left is removed by the
 next. A file that was delivered again in another state replaces the rows it had brought.
 """
@@ -37,6 +38,7 @@ from tallyforge.sources.heads import (
     NEITHER,
     UNREAD,
     WHOLE,
+    damaged,
     file_of_row,
     forms,
     forms_by_scan,
@@ -247,7 +249,13 @@ def load_fresh(loads: Loads, fresh: DataFrame, options: dict, files_at_once: int
                 wrong = "neither an array of orders nor JSON Lines" if kind == NEITHER else kind
                 note([(f, wrong) for f in files])
                 continue
-            failed = dict(write_apart(files, write))
+            # Those that will hardly be read are not written with the others, which would all be
+            # written again. With a single file there is nothing to spare.
+            doubtful = damaged(spark, [f.path for f in files]) if len(files) > 1 else set()
+            failed: dict[Source, str] = {}
+            for group in ([f for f in files if f.path not in doubtful], [f for f in files if f.path in doubtful]):
+                if group:
+                    failed |= dict(write_apart(group, write))
             note([(f, failed.get(f)) for f in files])
     if not found:
         return None
@@ -293,6 +301,9 @@ def replace_old_rows(loads: Loads, load: int) -> list[int]:
         return []
     now = loads.spark.read.schema(LEDGER).parquet(f"{loads.ledger_folder}/_load={load}")
     again = now.filter("status = 'loaded'").select(F.col("path").alias("_again"))
+    had = loads.ledger().filter("status = 'loaded'")
+    if had.join(again, F.col("path") == F.col("_again"), "left_semi").isEmpty():
+        return []  # rows come from files of the ledger only, which is far shorter
     before = loads.rows()
     touched = before.join(again, before._file == F.col("_again"), "left_semi").select("_load").distinct()
     old = sorted(row._load for row in touched.collect())

@@ -133,6 +133,22 @@ def test_few_files_at_once(spark, tmp_path, database):
     assert row_ids(spark, database) == list(range(7))
 
 
+def test_a_truncated_file_is_not_written_with_others(spark, tmp_path, database, monkeypatch):
+    put(tmp_path, "Orders_a.json", orders(1))
+    put(tmp_path, "Orders_b.json.gz", orders(2))
+    put(tmp_path, "Orders_c.json.gz", orders(*range(3, 2000)), cut=3000)
+    put(tmp_path, "Orders_d.json.gz", orders(2000))
+    groups, apart = [], led.write_apart
+    monkeypatch.setattr(led, "write_apart", lambda files, write: apart(files, lambda g: (groups.append(names(g)), write(g))))
+    assert outcomes(ingest_new_files(spark, [str(tmp_path)], database))["Orders_c.json.gz"][0] == "error"
+    assert groups == [["Orders_a.json", "Orders_b.json.gz", "Orders_d.json.gz"], ["Orders_c.json.gz"]]
+    assert row_ids(spark, database) == [1, 2, 2000]
+
+
+def names(files):
+    return [f.path.rsplit("/", 1)[-1] for f in files]
+
+
 @pytest.mark.parametrize("named", [True, False])
 def test_bad_files_are_found(named):
     files = [Source(f"/in/f{i:03d}.json", 1, None, "lines") for i in range(300)]
