@@ -96,3 +96,20 @@ COUNTS = {
     "gold_profit_agg": 44664,
     "low_profit_orders": 35499,
 }
+
+
+def test_a_rebuild_computes_the_aggregate_once(spark, monkeypatch):
+    computed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            computed.add(batch.num_rows)
+            yield batch
+
+    def few_rows(spark, sf_dir):
+        rows = spark.createDataFrame([(1995, "a", 1.5), (1997, "b", -2.0)], "Year int, Customer_Name string, Profit double")
+        return rows.mapInArrow(count, rows.schema)
+
+    monkeypatch.setattr(catalog, "gold_profit_agg", few_rows)
+    assert spark_rows(catalog.atomic_rebuild(spark, SF_DIR)) == Counter([("a", 1.5, 1995), ("b", -2.0, 1997)])
+    assert computed.value == 2
