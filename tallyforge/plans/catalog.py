@@ -295,7 +295,7 @@ def _write_arrays(df: DataFrame, path: str) -> None:
     files = max(1, df.count() // ORDERS_PER_ARRAY)
     share = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files))
     arrays = df.groupBy(share).agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
-    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path, compression="gzip")
 
 
 def _deliver(spark: SparkSession, source: str, target: str) -> None:
@@ -303,15 +303,15 @@ def _deliver(spark: SparkSession, source: str, target: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
     for status in files.listStatus(path(source)):
-        name = status.getPath().getName()
-        if name.endswith(".txt") and not files.rename(status.getPath(), path(f"{target}/a-{name[:-4]}.json")):
+        name, text, packed = status.getPath().getName().partition(".txt")
+        if text and not files.rename(status.getPath(), path(f"{target}/a-{name}.json{packed}")):
             raise OSError(f"could not move {name} to {target}")
 
 
 def source_files(spark: SparkSession, sf_dir: str) -> str:
     """A folder with the three sources, as a shop would deliver them."""
     folder = shared_folder(spark)
-    order_lines(spark, sf_dir).write.json(f"{folder}/Orders.json")
+    _write_lines(order_lines(spark, sf_dir), f"{folder}/Orders.json")
     _write_csv(bronze_products(spark, sf_dir), f"{folder}/Products.csv")
     _write_csv(bronze_customers(spark, sf_dir), f"{folder}/Customer.csv")
     return folder
@@ -327,7 +327,7 @@ def source_paths(folder: str) -> list[str]:
 def scan_orders_json(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
     path = f"{folder or shared_folder(spark)}/Orders.json"
     if folder is None:
-        order_lines(spark, sf_dir).write.json(path)
+        _write_lines(order_lines(spark, sf_dir), path)
     return sanitize_cols(read_orders_json(spark, path))
 
 
@@ -374,7 +374,7 @@ def ingest_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     third = F.pmod(F.col("`Row ID`"), F.lit(3))
     paths = [f"{folder}/Orders_{i}.json" for i in range(2)]
     for i, path in enumerate(paths):
-        lines.filter(third == i).write.json(path)
+        _write_lines(lines.filter(third == i), path)
     # The second folder has files of both forms, those with arrays first.
     _write_arrays(lines.filter(third == 2), f"{folder}/arrays")
     _deliver(spark, f"{folder}/arrays", paths[1])
@@ -425,7 +425,7 @@ def ingest_ledger_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of each table, counted while its source is loaded."""
     folder = shared_folder(spark)
-    order_lines(spark, sf_dir).write.json(f"{folder}/Orders.json")
+    _write_lines(order_lines(spark, sf_dir), f"{folder}/Orders.json")
     _write_csv(bronze_products(spark, sf_dir), f"{folder}/Products.csv")
     bronze_customers(spark, sf_dir).write.parquet(f"{folder}/Customer.parquet")
     names = ["Customer.parquet", "Orders.json", "Products.csv"]

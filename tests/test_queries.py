@@ -6,9 +6,11 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from tallyforge.plans import catalog, oracle
+from tallyforge.sources.files import read_orders_json
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 QUERIES = catalog.all_queries()
@@ -113,3 +115,16 @@ def test_a_rebuild_computes_the_aggregate_once(spark, monkeypatch):
     monkeypatch.setattr(catalog, "gold_profit_agg", few_rows)
     assert spark_rows(catalog.atomic_rebuild(spark, SF_DIR)) == Counter([("a", 1.5, 1995), ("b", -2.0, 1997)])
     assert computed.value == 2
+
+
+def test_order_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    lines = spark.range(25).select(F.col("id").alias("Row ID"), F.lit("C1").alias("Customer ID"))
+    monkeypatch.setattr(catalog, "LINES_PER_FILE", 10)
+    monkeypatch.setattr(catalog, "ORDERS_PER_ARRAY", 10)
+    catalog._write_lines(lines.coalesce(1), f"{tmp_path}/lines")
+    catalog._write_arrays(lines, f"{tmp_path}/arrays")
+    catalog._deliver(spark, f"{tmp_path}/arrays", f"{tmp_path}/lines")
+    files = glob.glob(f"{tmp_path}/lines/*.json*")
+    assert len(files) in (4, 5) and all(f.endswith(".json.gz") for f in files) and not glob.glob(f"{tmp_path}/arrays/*.txt*")
+    found = read_orders_json(spark, f"{tmp_path}/lines")
+    assert Counter((r["Row ID"], r["Customer ID"]) for r in found.collect()) == {(i, "C1"): 2 for i in range(25)}
