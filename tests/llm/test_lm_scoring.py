@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from llm_rows import documents, prose, special_rows
 
-from tallyforge.llm.lm_scoring import lm_scores, pack_counts, pack_sorted, unpack_counts, unpack_sorted
+from tallyforge.llm.lm_scoring import lm_scores, pack_counts, pack_sorted, unpack_counts, unpack_sorted, unpacked, with_packed_text
 
 
 def brute(rows, order, min_count):
@@ -63,3 +63,13 @@ def test_special_tables(spark):
     assert lm_scores(documents(spark, [])).collect() == []
     wordless = lm_scores(documents(spark, [(1, None), (2, " ")])).collect()
     assert {tuple(r) for r in wordless} == {(1, 0, 0, 0.0, None), (2, 0, 0, 0.0, None)}
+
+
+def test_texts_and_counts_travel_compressed(spark):
+    texts = ["", "é 漢", "one and two and three " * 400, "a\x00b"]
+    rows = spark.createDataFrame([(i, t, i % 2) for i, t in enumerate(texts)], "doc_id int, text string, batch bigint")
+    found = with_packed_text(rows).toArrow().sort_by("doc_id")
+    assert [t.decode() for t in unpacked(found["text"])] == texts
+    assert len(found["text"][2].as_py()) < 200 and found["batch"].to_pylist() == [0, 1, 0, 1]
+    counts = np.random.default_rng(1).choice([1, 1, 1, 2, 3], 20_000)
+    assert len(pack_counts(counts)) < 20_000 * 0.4
