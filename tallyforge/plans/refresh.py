@@ -22,7 +22,7 @@ def change_orders(
     """
     now = spark.table(qualified("gold_orders", database))
     folder = shared_folder(spark)
-    changed.select(*now.columns).write.parquet(folder)
+    changed.select(*now.columns).write.parquet(folder, compression="zstd")
     changed = spark.read.schema(now.schema).parquet(folder)
     gone = changed.select("Row_ID")
     if removed is not None:

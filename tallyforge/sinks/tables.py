@@ -81,11 +81,12 @@ def cluster_by(df: DataFrame, column: str, partitions: int) -> DataFrame:
 
     Spark samples ``df`` for the ranges and then reads it again, so it should be a written table.
     Rows of a frequent value are told apart by a hash, and copies of one row by their place in
-    the input, so such a value is spread over several files.
+    the input, so such a value is spread over several files. The hash is no column of its own, as
+    the shuffle would carry it along and cannot compress it.
     """
-    keys = {"_hash": F.xxhash64(*df.columns), "_copy": F.monotonically_increasing_id()}
-    ranged = df.withColumns(keys).repartitionByRange(partitions, column, "_hash", "_copy")
-    return ranged.sortWithinPartitions(column).drop(*keys)
+    numbered = df.withColumn("_copy", F.monotonically_increasing_id())
+    ranged = numbered.repartitionByRange(partitions, column, F.xxhash64(*df.columns), "_copy")
+    return ranged.sortWithinPartitions(column).drop("_copy")
 
 
 def file_count(spark: SparkSession, rows: int) -> int:
@@ -113,7 +114,7 @@ def overwrite_clustered(
     spark = df.sparkSession
     whole = with_table_schema(df, table, database) if merge_schema else df
     folder = shared_folder(spark)
-    whole.write.parquet(folder)
+    whole.write.parquet(folder, compression="zstd")  # scratch: as short as it gets
     written = spark.read.schema(whole.schema).parquet(folder)
     files = partitions or file_count(spark, written.count())
     options = bloom_options(written, list(bloom), files) if bloom else None

@@ -11,7 +11,7 @@ from tallyforge.operators import profile as prof
 from tallyforge.operators import profit
 from tallyforge.plans import catalog
 from tallyforge.schemas import GOLD_PROFIT_AGG, ddl
-from tallyforge.sinks.tables import overwrite_clustered
+from tallyforge.sinks.tables import cluster_by, overwrite_clustered
 from tallyforge.sinks.zorder import overwrite_zordered, rank, sortable, z_value, zorder_by
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -226,3 +226,11 @@ def test_one_pass(spark, capsys):
     _, df = sample(spark, 5)
     prof.column_profile(df, KINDS).explain()
     assert capsys.readouterr().out.count("Scan") == 1
+
+
+def test_the_shuffle_of_a_clustered_table_carries_no_hash(spark):
+    df = spark.range(100).select(F.col("id").alias("Row_ID"), F.lit("x").alias("name"))
+    clustered = cluster_by(df, "Row_ID", 4)
+    plan = clustered._jdf.queryExecution().optimizedPlan().toString()
+    assert "_hash" not in plan and "xxhash64" in plan and clustered.columns == ["Row_ID", "name"]
+    assert sorted(r.Row_ID for r in clustered.collect()) == list(range(100))
